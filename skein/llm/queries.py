@@ -7,13 +7,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from skein.llm.packing import op2_packing
+from skein.llm.simhash_dedup import op5_simhash_dedup
 from skein.llm.token_counts import op4_token_counts
+from skein.llm.toxicity import op3_toxicity
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op2_packing": op2_packing,
+        "op3_toxicity": op3_toxicity,
         "op4_token_counts": op4_token_counts,
+        "op5_simhash_dedup": op5_simhash_dedup,
     }
 
 
