@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from skein.llm.language_id import op7_language_id
 from skein.llm.packing import op2_packing
 from skein.llm.simhash_dedup import op5_simhash_dedup
 from skein.llm.token_counts import op4_token_counts
@@ -18,6 +19,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op3_toxicity": op3_toxicity,
         "op4_token_counts": op4_token_counts,
         "op5_simhash_dedup": op5_simhash_dedup,
+        "op7_language_id": op7_language_id,
     }
 
 
