@@ -8,6 +8,7 @@ straight to the library's BPE model, pre-tokenised here; all others go through t
 
 from __future__ import annotations
 
+import functools
 import json
 import os
 import struct
@@ -113,3 +114,9 @@ class ChunkEncoder:
                 continue
             out.append((self._whole(head) if head else b"") + tail)
         return out
+
+
+@functools.lru_cache(maxsize=1)
+def worker_encoder(path: str) -> ChunkEncoder:
+    """The encoder of this worker process: its tables and memo outlive a task."""
+    return ChunkEncoder(path)

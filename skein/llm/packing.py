@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skein.llm.common import chunks, table, texts
-from skein.llm.encoder import ChunkEncoder
+from skein.llm.encoder import worker_encoder
 
 SCHEMA = "doc_id long, start long, length long, doc_tokens long, sequence_id long, offset long, ids binary"
 
@@ -80,7 +80,7 @@ def packer(path: str, capacity: int, part: int, end: int, batch: int):
     """A mapInArrow function from (doc_id, text) to rows of SCHEMA."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = ChunkEncoder(path)
+        encoder = worker_encoder(path)
         tail = np.array([end], dtype="<u4").tobytes()
         base, used = TaskContext.get().partitionId() << 40, 0
         schema = pa.schema([(n, pa.int64()) for n in ("doc_id", "start", "length", "doc_tokens", "sequence_id", "offset")] + [("ids", pa.binary())])

@@ -11,6 +11,7 @@ empty table gives none; other columns are not looked at. A special token's strin
 
 from __future__ import annotations
 
+import functools
 import json
 from collections.abc import Iterator
 
@@ -185,9 +186,15 @@ class TokenCounter:
         return any(p[-1].isspace() for p in parts[:-1])
 
 
+@functools.lru_cache(maxsize=1)
+def worker_counter(path: str) -> TokenCounter:
+    """The counter of this worker process: its tables and memo outlive a task."""
+    return TokenCounter(path)
+
+
 def counter(path: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens = TokenCounter(path)
+        tokens = worker_counter(path)
         for chunk in chunks(batches, 1):
             n = pa.array(tokens.count(texts(chunk.column(1))), pa.int64())
             yield pa.RecordBatch.from_arrays([chunk.column(0), chunk.column(2), n], names=["doc_id", "n_bytes", "n_tokens"])
