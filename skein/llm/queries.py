@@ -6,9 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from skein.llm.decontamination import op6_decontamination
 from skein.llm.language_id import op7_language_id
 from skein.llm.packing import op2_packing
 from skein.llm.simhash_dedup import op5_simhash_dedup
+from skein.llm.sketches import op10_fingerprints
 from skein.llm.token_counts import op4_token_counts
 from skein.llm.toxicity import op3_toxicity
 
@@ -19,7 +21,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op3_toxicity": op3_toxicity,
         "op4_token_counts": op4_token_counts,
         "op5_simhash_dedup": op5_simhash_dedup,
+        "op6_decontamination": op6_decontamination,
         "op7_language_id": op7_language_id,
+        "op10_fingerprints": op10_fingerprints,
     }
 
 
