@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import os
 import shutil
 import tempfile
@@ -118,3 +119,9 @@ class SharedFiles:
 
         store, base = fs.FileSystem.from_uri(self.root)
         store.delete_dir(base)
+
+
+def release(spark: SparkSession) -> None:
+    """Let go of shuffle files whose frames are no longer referred to."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from skein.llm.decontamination import op6_decontamination
 from skein.llm.language_id import op7_language_id
+from skein.llm.lm_scoring import op9_lm_scoring
 from skein.llm.packing import op2_packing
 from skein.llm.simhash_dedup import op5_simhash_dedup
 from skein.llm.sketches import op10_fingerprints
@@ -23,6 +24,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op5_simhash_dedup": op5_simhash_dedup,
         "op6_decontamination": op6_decontamination,
         "op7_language_id": op7_language_id,
+        "op9_lm_scoring": op9_lm_scoring,
         "op10_fingerprints": op10_fingerprints,
     }
 
