@@ -1,12 +1,72 @@
-"""Corpus preparation: stages that each read what the one before has written."""
+"""Corpus preparation: stages that each read what the one before has written.
+
+Toxic texts go, then texts in no known language, then near copies (the least id of each group stays), then texts that
+hold benchmark items; the rest is packed. Rows of null id are treated as one id; no stage reads a column but doc_id,
+text and (to learn from) lang, and all but the last return every column of their input.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from skein.llm import decontamination, language_id, packing, simhash_dedup, toxicity
+from skein.llm.common import cut, shared_dir, table
+from skein.llm.native import small_side
+
+#: A text scores at least this if it is toxic.
+TOXIC = 0.5
+
+#: The least score of a text in a known language: a score of 0.5 is no evidence for or against the best language.
+KNOWN_LANGUAGE = 0.3
+
+
+def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
+    found = model.evidence(docs, name="__evidence")
+    return found.filter(model.score(F.col("__evidence")) < TOXIC).select(*docs.columns)
+
+
+def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    found = language_id.fit(docs).predict(docs, names=("__lang", "__score"))
+    known = (F.col("__lang") != language_id.UNKNOWN) & (F.col("__score") >= KNOWN_LANGUAGE)
+    return found.filter(known).select(*docs.columns)
+
+
+def dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    found = simhash_dedup.near_duplicates(docs)
+    kept = found.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("__id")).distinct()
+    return docs.join(kept, F.col("doc_id").eqNullSafe(F.col("__id")), "left_semi").dropDuplicates(["doc_id"])
+
+
+def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    found = decontamination.contaminated(docs, table(spark, sf_dir, "benchmark"))
+    ids = cut(found.select(F.col("doc_id").alias("__id")).distinct())
+    ids = small_side(ids, ids.count(), decontamination.BROADCAST_ROWS)
+    return docs.join(ids, F.col("doc_id").eqNullSafe(F.col("__id")), "left_anti")
+
+
+def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return packing.packed(docs)
+
+
+STAGES = [
+    ("toxicity", toxicity_stage),
+    ("language", language_stage),
+    ("near_dedup", dedup_stage),
+    ("decontamination", decontamination_stage),
+    ("packing", packing_stage),
+]
 
-STAGES: list = []
+#: SQL has neither the classifiers' models nor XXH64 fingerprints; see tests/llm/test_pipeline.py.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raise NotImplementedError
+    """The stages over `documents`, each written to the shared folder and read again."""
+    base = f"{shared_dir(spark).rstrip('/')}/pipeline-{spark.sparkContext.applicationId}-{spark._jvm.java.util.UUID.randomUUID().toString()}"
+    docs = table(spark, sf_dir, "documents")
+    for name, stage in STAGES:
+        stage(spark, docs, sf_dir).write.parquet(f"{base}/{name}")
+        docs = spark.read.parquet(f"{base}/{name}")
+    return docs

@@ -7,12 +7,13 @@ import os
 import shutil
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from urllib.parse import unquote, urlparse
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -63,6 +64,22 @@ def texts(column: pa.Array) -> list[str]:
     return ["" if x is None else x for x in column.to_pylist()]
 
 
+def with_results(df: DataFrame, text_col: str, keep: list[str], fields: T.StructType, start: Callable[[], Callable[[list], list[pa.Array]]]) -> DataFrame:
+    """`keep` columns of `df` and the `fields` that start()(texts) gives for each batch of texts; nothing is shuffled.
+
+    start() is called once a task; it is given texts as they are, nulls included.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        of = start()
+        for chunk in chunks(batches, 0):
+            arrays = [*chunk.columns[1:], *of(chunk.column(0).to_pylist())]
+            yield pa.RecordBatch.from_arrays(arrays, names=[*chunk.schema.names[1:], *fields.names])
+
+    rows = df.select(F.col(text_col).cast("string").alias("__text"), *keep)
+    return rows.mapInArrow(run, T.StructType([*rows.schema.fields[1:], *fields.fields]))
+
+
 class SharedFiles:
     """Binary files in the shared folder. A file URL is used in place; other stores go through pyarrow's file systems.
 

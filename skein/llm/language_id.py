@@ -19,8 +19,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from skein.llm.common import chunks, id_bucket, table
+from skein.llm.common import chunks, id_bucket, table, with_results
 
 #: log2 of the number of hashed n-grams.
 LOG_BITS = 15
@@ -77,26 +78,26 @@ class LanguageModel:
             out[at : at + len(part)] = x[: len(part)] @ self.weights / size
         return out
 
-    def predict(self, df: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-        """doc_id, lang_pred and score (0 to 1) of every row."""
+    def predict(self, df: DataFrame, *, text_col: str = "text", keep: list[str] | None = None, names: tuple[str, str] = ("lang_pred", "score")) -> DataFrame:
+        """`keep` columns (all, if not given), the predicted language and its score (0 to 1) of every row."""
         sent = df.sparkSession.sparkContext.broadcast((self.languages, self.weights, self.longest))
 
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def start():
             model = LanguageModel(*sent.value)
-            for chunk in chunks(batches, 1):
-                found = chunk.column(1).to_pylist()
-                known = [has_letter(t) and bool(model.languages) for t in found]
-                lang, score = np.full(len(found), UNKNOWN, dtype=object), np.zeros(len(found))
-                if any(known):
-                    at = np.flatnonzero(known)
-                    s = model.scores([found[i] for i in at.tolist()])
+
+            def of(batch: list) -> list[pa.Array]:
+                at = [i for i, t in enumerate(batch) if has_letter(t) and model.languages]
+                lang, score = np.full(len(batch), UNKNOWN, dtype=object), np.zeros(len(batch))
+                if at:
+                    s = model.scores([batch[i] for i in at])
                     best = s.argmax(axis=1)
                     lang[at] = np.array(model.languages, dtype=object)[best]
                     score[at] = np.clip((s[np.arange(len(s)), best] + 1) / 2, 0, 1)
-                yield pa.RecordBatch.from_arrays([chunk.column(0), pa.array(lang, pa.string()), pa.array(score)], names=["doc_id", "lang_pred", "score"])
+                return [pa.array(lang, pa.string()), pa.array(score, pa.float64())]
+
+            return of
 
-        rows = df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-        return rows.mapInArrow(run, "doc_id long, lang_pred string, score double")
+        return with_results(df, text_col, df.columns if keep is None else keep, T.StructType().add(names[0], "string").add(names[1], "double"), start)
 
 
 def solve(sets: np.ndarray, y: np.ndarray, landmarks: np.ndarray, ridge: float) -> np.ndarray:
@@ -154,5 +155,5 @@ def fit(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", label_
 def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents")
     model = fit(documents.filter(id_bucket("doc_id", 5) != 0))
-    found = model.predict(documents)
+    found = model.predict(documents, keep=["doc_id"])
     return found.select("doc_id", (id_bucket("doc_id", 5) == 0).alias("held_out"), "lang_pred", "score")

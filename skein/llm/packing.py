@@ -135,8 +135,13 @@ def pack(df: DataFrame, tokenizer: str, *, id_col: str = "doc_id", text_col: str
     return rows.mapInArrow(packer(tokenizer, capacity, part, end, batch), SCHEMA)
 
 
-def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+def packed(documents: DataFrame) -> DataFrame:
+    """Pieces by byte_bpe_50k.json, with the checksum of their ids in place of the ids."""
     import public_tokenizers
 
-    pieces = pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+    pieces = pack(documents, public_tokenizers.path("byte_bpe_50k.json"))
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
+def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packed(table(spark, sf_dir, "documents"))

@@ -6,8 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from skein.llm.chat import OP1_SQL, op1_chat_preferences
 from skein.llm.decontamination import op6_decontamination
 from skein.llm.language_id import op7_language_id
+from skein.llm.license_scan import op8_license_scan
 from skein.llm.lm_scoring import op9_lm_scoring
 from skein.llm.packing import op2_packing
 from skein.llm.simhash_dedup import op5_simhash_dedup
@@ -18,16 +20,18 @@ from skein.llm.toxicity import op3_toxicity
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_chat_preferences": op1_chat_preferences,
         "op2_packing": op2_packing,
         "op3_toxicity": op3_toxicity,
         "op4_token_counts": op4_token_counts,
         "op5_simhash_dedup": op5_simhash_dedup,
         "op6_decontamination": op6_decontamination,
         "op7_language_id": op7_language_id,
+        "op8_license_scan": op8_license_scan,
         "op9_lm_scoring": op9_lm_scoring,
         "op10_fingerprints": op10_fingerprints,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op1_chat_preferences": OP1_SQL}

@@ -27,8 +27,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from skein.llm.common import chunks, cut, id_bucket, table, texts
+from skein.llm.common import cut, id_bucket, table, texts, with_results
 from skein.llm.encoder import Memo
 
 #: Marks of a word's start and end.
@@ -148,18 +149,15 @@ class ToxicityModel:
         self.sent = spark.sparkContext.broadcast((grams, others))
         self.order, self.dead_zone, self.slope, self.intercept = order, dead_zone, slope, intercept
 
-    def evidence(self, df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-        """(doc_id, evidence) of every row."""
+    def evidence(self, df: DataFrame, *, text_col: str = "text", keep: list[str] | None = None, name: str = "evidence") -> DataFrame:
+        """`keep` columns (all, if not given) and the evidence of every row."""
         sent, order, dead_zone = self.sent, self.order, self.dead_zone
 
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def start():
             scorer = Scorer(*sent.value, order, dead_zone)
-            for chunk in chunks(batches, 1):
-                found = pa.array(scorer.evidence(texts(chunk.column(1))))
-                yield pa.RecordBatch.from_arrays([chunk.column(0), found], names=["doc_id", "evidence"])
+            return lambda batch: [pa.array(scorer.evidence(["" if t is None else t for t in batch]), pa.float64())]
 
-        rows = df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-        return rows.mapInArrow(run, "doc_id long, evidence double")
+        return with_results(df, text_col, df.columns if keep is None else keep, T.StructType().add(name, "double"), start)
 
     def score(self, evidence: Column) -> Column:
         return 1 / (1 + F.exp(-(F.lit(self.slope) * evidence + F.lit(self.intercept))))
@@ -200,8 +198,8 @@ def fit(df: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: s
     rows = total.toArrow().to_pydict()  # bounded with the sample
     models = ClassModels(dict(zip(rows["gram"], zip(rows["t"], rows["o"], strict=True), strict=True)))
     model = ToxicityModel(spark, *models.tables(), order, dead_zone)
-    held = model.evidence(sample.filter("held")).join(sample.select("doc_id", "y"), "doc_id").select("evidence", "y").toArrow()
-    x, y = held.column(0).to_numpy(), held.column(1).to_numpy()
+    held = model.evidence(sample.filter("held"), keep=["y"]).toArrow()
+    y, x = held.column(0).to_numpy(), held.column(1).to_numpy()
     if len(set(y.tolist())) == 2:
         model.slope, model.intercept = logistic(x, y.astype(float))
     else:
@@ -220,5 +218,5 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents")
     model = fit(documents, fit_labels(table(spark, sf_dir, "labels")))
     score = model.score(F.col("evidence"))
-    scored = model.evidence(documents).select("doc_id", (id_bucket("doc_id", 5) == 0).alias("held_out"), score.alias("score"))
+    scored = model.evidence(documents, keep=["doc_id"]).select("doc_id", (id_bucket("doc_id", 5) == 0).alias("held_out"), score.alias("score"))
     return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
