@@ -89,7 +89,8 @@ def pair_up(convs: DataFrame) -> DataFrame:
 def op1_chat_preferences(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = preferences(pair_up(conversations(table(spark, sf_dir, "conversations"))))
     runs = lambda c: F.array_join(F.transform(c, lambda r: F.concat(F.when(r.train, F.lit("+")).otherwise(F.lit("-")), r.chars.cast("string"))), "")
-    return found.withColumns({c: runs(F.col(c)) for c in ("chosen_mask", "rejected_mask")})
+    found = found.withColumns({c: runs(F.col(c)) for c in ("chosen_mask", "rejected_mask")})
+    return found.withColumn("rejected_id", F.coalesce("rejected_id", F.lit(-1)))
 
 
 OP1_SQL = r"""
@@ -113,7 +114,7 @@ differs AS (
 common AS (
   SELECT p.pair_id, chosen_id, rejected_id, others, CAST(coalesce(d.i - 1, shorter) AS INTEGER) AS n_common
   FROM pairs p LEFT JOIN differs d ON p.pair_id = d.pair_id)
-SELECT c.pair_id, chosen_id, rejected_id, n_common,
+SELECT c.pair_id, chosen_id, coalesce(rejected_id, -1) AS rejected_id, n_common,
        coalesce(string_agg(head || text || chr(10), '' ORDER BY i) FILTER (side = 0 AND i <= n_common), '') AS prompt,
        coalesce(string_agg(head || text || chr(10), '' ORDER BY i) FILTER (side = 0 AND i > n_common), '') AS chosen,
        coalesce(string_agg('-' || length(head) || CASE WHEN role = 'assistant' THEN '+' ELSE '-' END || (length(text) + 1), '' ORDER BY i) FILTER (side = 0 AND i > n_common), '') AS chosen_mask,
