@@ -120,5 +120,6 @@ def each_header(spark: SparkSession, paths: list[str], failed: Callable[[str, Lo
 
 
 def for_spark(path: str) -> str:
-    """A path whose glob characters are literal to Spark's reader."""
+    """A path whose glob characters are literal to Spark's reader; local ones from the root, as the JVM's folder may differ."""
+    path = os.path.abspath(local_path(path)) if is_local(path) else path
     return re.sub(r"([\[\]{}*?\\])", r"\\\1", path)
