@@ -78,7 +78,8 @@ def block_masks(blocks: int, agree: int) -> list[int]:
 
 
 def stars(fps: np.ndarray, group: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
-    """Edges (a, b) that join the linked members of each group; `group` is sorted."""
+    """Edges (a, b) that join the linked members of each group; `group` is sorted. Bits are counted unsigned."""
+    fps = fps.view(np.uint64)
     left, right = [], []
     start = np.flatnonzero(np.r_[True, group[1:] != group[:-1]])
     length = np.diff(np.r_[start, len(group)])
@@ -96,12 +97,12 @@ def stars(fps: np.ndarray, group: np.ndarray, radius: int) -> tuple[np.ndarray,
             while len(frontier) and len(rest):
                 near = np.zeros(len(rest), dtype=bool)
                 for f in frontier.tolist():
-                    near |= np.bitwise_count(rest ^ np.int64(f)) <= radius
+                    near |= np.bitwise_count(rest ^ np.uint64(f)) <= radius
                 frontier, rest = rest[near], rest[~near]
                 left.append(np.full(len(frontier), root))
                 right.append(frontier)
-    none = np.array([], dtype=np.int64)
-    return np.concatenate([none, *left]), np.concatenate([none, *right])
+    none = np.array([], dtype=np.uint64)
+    return np.concatenate([none, *left]).view(np.int64), np.concatenate([none, *right]).view(np.int64)
 
 
 def linker(radius: int):
