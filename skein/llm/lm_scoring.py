@@ -3,11 +3,11 @@
 Tokens are words (A-Z lower-cased, cut at ASCII white space) and one end token a text; a text's first token follows a
 begin mark. Words are known by their XXH64, word pairs by a mix of the two.
 
-Counting: words first; then distinct pairs with counts of a few million tokens at a time, dealt to shards by their first
-word. First words that are more than a thousandth of all tokens are at most a thousand; their pairs are dealt by both
-words, so no shard grows with one word. A shard writes its sorted pair hashes (those met once, and the others with
-their counts) as a file in the shared folder and returns each word's statistics, which are added up and written as
-sorted arrays too. All sizes follow the corpus; shards stay of one size, only their number grows.
+Counting: distinct pairs with counts of a few million tokens at a time, dealt to shards by their first word. The pairs of
+a first word that is more than a thousandth of some part's tokens (at most some thousands, found in a pass before) are
+dealt by both words, so no shard grows with one word. A shard writes its sorted pair hashes (those met once, and the
+others with their counts) as a file in the shared folder and sends each word's statistics on; these are added up and
+written as sorted arrays too. All sizes follow the corpus; shards stay of one size, only their number grows.
 
 Probability: (c(u v) - D(c)) / c(u) plus the context's discounted mass times the continuation probability of v, itself
 discounted and interpolated with the uniform one over the V training words and one unknown. D for one, two, more.
@@ -34,10 +34,10 @@ from skein.llm.common import SharedFiles, chunks, cut, id_bucket, partitions_for
 from skein.llm.encoder import Memo
 
 #: Tokens counted together before their pairs are sent.
-BATCH_TOKENS = 3_000_000
+BATCH_TOKENS = 2_000_000
 
 #: Words held by one worker; beyond it a memo starts anew.
-MEMO = 400_000
+MEMO = 150_000
 
 
 def word_hash(word: bytes) -> int:
@@ -89,34 +89,55 @@ def shard_of(first: np.ndarray, second: np.ndarray, heavy: np.ndarray, shards: i
     return (mix(first, salt) % np.uint64(shards)).astype(np.int64)
 
 
-def count_words(df: DataFrame) -> DataFrame:
-    """(h, c) of every training word, the end token included."""
+def pack(*arrays: np.ndarray) -> bytes:
+    """Arrays of whole numbers one after the other, each in its narrowest width."""
+    head, data = [len(arrays)], []
+    for a in arrays:
+        most = int(a.max()) if len(a) else 0
+        width = 1 if most < 1 << 8 else 2 if most < 1 << 16 else 4 if most < 1 << 32 else 8
+        head += [len(a), width]
+        data.append(a.astype(f"<u{width}", copy=False).tobytes().ljust(-(-len(a) * width // 8) * 8, b"\0"))
+    return np.array(head, dtype=np.int64).tobytes() + b"".join(data)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words: Counter[bytes] = Counter()
-        ends = 0
 
-        def flush() -> pa.RecordBatch:
-            h = np.fromiter(map(word_hash, words), dtype=np.uint64, count=len(words)).view(np.int64)
-            n = np.fromiter(words.values(), dtype=np.int64, count=len(words))
-            return pa.RecordBatch.from_arrays([pa.array(h), pa.array(n)], names=["h", "c"])
+def unpack(data) -> list[np.ndarray]:
+    """The arrays of pack(), without copies; `data` is bytes or a mapped file."""
+    n = int(np.frombuffer(data, dtype=np.int64, count=1)[0])
+    shapes = np.frombuffer(data, dtype=np.int64, count=2 * n, offset=8).reshape(n, 2).tolist()
+    out, at = [], 8 + 16 * n
+    for length, width in shapes:
+        out.append(np.frombuffer(data, dtype=f"<u{width}", count=length, offset=at))
+        at += -(-length * width // 8) * 8
+    return out
+
 
+def heavy_words(df: DataFrame) -> tuple[int, np.ndarray]:
+    """How many tokens `df` has, and the hashes of words that are many of them.
+
+    A word above a thousandth of all tokens is above a thousandth of some part's; each part names those words of its own
+    (fewer than a thousand). Kept are words whose named counts pass a 2,000th of all, so fewer than 2,000.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for chunk in chunks(batches, 0):
+            words: Counter[bytes] = Counter()
             for t in texts(chunk.column(0)):
                 words.update(t.encode().lower().split())
-                ends += 1
-            if len(words) > MEMO:
-                yield flush()
-                words.clear()
-        yield flush()
-        if ends:
-            yield pa.RecordBatch.from_arrays([pa.array(np.array([END], dtype=np.uint64).view(np.int64)), pa.array([ends], pa.int64())], names=["h", "c"])
+            total = words.total() + chunk.num_rows
+            many = [(word_hash(w), n) for w, n in words.items() if n > total / 1000] + [(END, chunk.num_rows)]
+            h = np.array([x for x, _ in many], dtype=np.uint64).view(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array([None, *h.tolist()], pa.int64()), pa.array([total, *(n for _, n in many)], pa.int64())], names=["h", "n"])
 
-    return df.select("text").mapInArrow(run, "h long, c long").groupBy("h").agg(F.sum("c").alias("c"))
+    named = df.select("text").mapInArrow(run, "h long, n long").groupBy("h").agg(F.sum("n").alias("n"))
+    named = cut(named)
+    total = named.filter("h is null").select("n").first()
+    total = total[0] if total else 0
+    heavy = [r["h"] for r in named.filter(F.col("h").isNotNull() & (F.col("n") > total / 2000)).select("h").collect()]
+    return total, np.array([BEGIN, *np.array(heavy, dtype=np.int64).view(np.uint64).tolist()], dtype=np.uint64)
 
 
 def pair_counter(heavy: np.ndarray, shards: int):
-    """Rows (shard, pairs): first words, how many pairs each has, second words, counts."""
+    """Rows (shard, pairs), the latter packed: first words, how many pairs each has, second words, counts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher, docs, size = Hasher(), [], 0
@@ -131,8 +152,7 @@ def pair_counter(heavy: np.ndarray, shards: int):
             out = []
             for a, b in zip(at.tolist(), [*at[1:].tolist(), len(shard)], strict=True):
                 u, run_length = np.unique(first[a:b], return_counts=True)
-                head = np.array([len(u), b - a], dtype=np.int64)
-                out.append(b"".join(x.tobytes() for x in (head, u, run_length.astype(np.uint32), second[a:b], n[a:b])))
+                out.append(pack(u, run_length, second[a:b], n[a:b]))
             return pa.RecordBatch.from_arrays([pa.array(ids), pa.array(out, pa.binary())], names=["shard", "pairs"])
 
         for chunk in chunks(batches, 0):
@@ -148,60 +168,63 @@ def pair_counter(heavy: np.ndarray, shards: int):
     return run
 
 
-def unpack(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    kinds, n = np.frombuffer(data, dtype=np.int64, count=2).tolist()
-    u = np.frombuffer(data, dtype=np.uint64, count=kinds, offset=16)
-    runs = np.frombuffer(data, dtype=np.uint32, count=kinds, offset=16 + 8 * kinds)
-    second = np.frombuffer(data, dtype=np.uint64, count=n, offset=16 + 12 * kinds)
-    return np.repeat(u, runs), second, np.frombuffer(data, dtype=np.uint32, count=n, offset=16 + 12 * kinds + 8 * n)
+#: What is kept of a word: its count, that of pairs it begins, how many of these occur once, twice and more often, and
+#: how many distinct pairs it ends.
+STATS = ["c", "t", "n1", "n2", "n3", "cont"]
 
 
-STATS = ["t", "n1", "n2", "n3", "cont"]
-
-
-def shard_writer(files: SharedFiles):
-    """Of one shard's rows: its file, each word's statistics, and (under the null word) how many pairs occur 1 to 4 times."""
+def shard_writer(files: SharedFiles, buckets_log: int):
+    """Writes a shard's file; gives its words' statistics by bucket, and how many pairs occur 1 to 4 times (bucket -1)."""
 
     def run(group: pa.Table) -> pa.Table:
         shard = group.column("shard")[0].as_py()
         parts = [unpack(x) for x in group.column("pairs").to_pylist()]
-        first, second, n = (np.concatenate([p[i] for p in parts]) for i in range(3))
+        first = np.concatenate([np.repeat(p[0], p[1]) for p in parts])
+        second, n = np.concatenate([p[2] for p in parts]), np.concatenate([p[3].astype(np.uint32) for p in parts])
         del parts, group
         order = np.lexsort((second, first))
         first, second, n = first[order], second[order], n[order]
         at = np.flatnonzero(np.r_[True, (first[1:] != first[:-1]) | (second[1:] != second[:-1])])
         first, second, n = first[at], second[at], np.add.reduceat(n.astype(np.int64), at)
-        key = mix(first, second)
-        once = n == 1
-        single = np.sort(key[once])
-        order = np.argsort(key[~once])
-        more, counts = key[~once][order], n[~once][order]
-        files.write(f"pairs-{shard}", b"".join(x.tobytes() for x in (np.array([len(single), len(more)], dtype=np.int64), single, more, counts)))
-        start = np.flatnonzero(np.r_[True, first[1:] != first[:-1]])
-        word, cont = np.unique(second, return_counts=True)
-        add = lambda x: np.add.reduceat(x.astype(np.int64), start)
-        left, none = len(start), np.zeros(len(word), dtype=np.int64)
-        columns = [np.concatenate([first[start], word]).view(np.int64)]
-        columns += [np.concatenate([x, none]) for x in (add(n), add(once), add(n == 2), add(n > 2))]
-        columns.append(np.concatenate([np.zeros(left, dtype=np.int64), cont]))
-        met = [int((n == k).sum()) for k in (1, 2, 3, 4)]
-        arrays = [pa.concat_arrays([pa.array(c, pa.int64()), pa.array([x], pa.int64())]) for c, x in zip(columns, [None, *met, 0], strict=True)]
-        return pa.Table.from_arrays(arrays, names=["h", *STATS])
+        del order, at
+        key, once = mix(first, second), n == 1
+        more = key[~once]
+        order = np.argsort(more)
+        files.write(f"pairs-{shard}", pack(np.sort(key[once]), more[order], n[~once][order]))
+        del key, more, order
+        word, where = np.unique(np.concatenate([first, second]), return_inverse=True)
+        i, j = where[: len(first)], where[len(first) :]
+        add = lambda k, x=None: np.bincount(k, weights=x, minlength=len(word)).astype(np.int64)
+        stats = [add(j, n), add(i, n), add(i[once]), add(i[n == 2]), add(i[n > 2]), add(j)]
+        bucket = (word >> np.uint64(64 - buckets_log)).astype(np.int64)
+        ids, at = np.unique(bucket, return_index=True)
+        ends = [*at[1:].tolist(), len(word)]
+        out = [pack(word[a:b], *(x[a:b] for x in stats)) for a, b in zip(at.tolist(), ends, strict=True)]
+        met = pack(np.array([int((n == k).sum()) for k in (1, 2, 3, 4)]))
+        return pa.Table.from_arrays([pa.array([-1, *ids.tolist()], pa.int64()), pa.array([met, *out], pa.binary())], names=["bucket", "stats"])
 
     return run
 
 
 def word_writer(files: SharedFiles):
-    """Of one bucket's words: a file of their hashes, in order, and their numbers."""
+    """Writes a bucket's words in order of their hashes; gives (kind, m): sums over its words, or of bucket -1."""
 
     def run(group: pa.Table) -> pa.Table:
         bucket = group.column("bucket")[0].as_py()
-        h = group.column("h").to_numpy().view(np.uint64)
-        order = np.argsort(h)
-        rows = [group.column(c).to_numpy()[order] for c in ("c", *STATS)]
-        files.write(f"words-{bucket}", b"".join(x.tobytes() for x in (np.array([len(h)], dtype=np.int64), h[order], *rows)))
-        cont = rows[-1]
-        return pa.Table.from_pydict({f"m{k}": [int((cont == k).sum())] for k in (1, 2, 3, 4)} | {"more": [int((cont > 2).sum())]})
+        parts = [unpack(x) for x in group.column("stats").to_pylist()]
+        if bucket < 0:
+            m = np.sum([p[0].astype(np.int64) for p in parts], axis=0).tolist()
+        else:
+            word, at = np.unique(np.concatenate([p[0] for p in parts]), return_inverse=True)
+            rows = []
+            for k in range(1, 7):
+                sums = np.zeros(len(word), dtype=np.int64)
+                np.add.at(sums, at, np.concatenate([p[k] for p in parts]).astype(np.int64))
+                rows.append(sums)
+            files.write(f"words-{bucket}", pack(word, *rows))
+            cont = rows[-1]
+            m = [int((cont == k).sum()) for k in (1, 2, 3, 4)] + [int((cont > 2).sum()), int(cont.sum()), int((rows[0] > 0).sum()), int(rows[0].sum())]
+        return pa.table({"kind": pa.array([int(bucket < 0)], pa.int64()), "m": pa.array([m], pa.list_(pa.int64()))})
 
     return run
 
@@ -240,12 +263,11 @@ class MappedModel:
         if self.scratch:
             shutil.rmtree(self.scratch, ignore_errors=True)
 
-    def parts(self, name: str, head: int, layout) -> list[np.ndarray] | None:
+    def parts(self, name: str) -> list[np.ndarray] | None:
         if name not in self.maps:
             try:
-                data = np.memmap(self.model.files.local(name, self.scratch), dtype=np.int64, mode="r")
-                self.maps[name] = [np.asarray(data[a:b]).view(kind) for a, b, kind in layout(*data[:head].tolist())]
-            except FileNotFoundError:  # a shard that no pair fell into
+                self.maps[name] = unpack(np.memmap(self.model.files.local(name, self.scratch), dtype=np.uint8, mode="r"))
+            except FileNotFoundError:  # nothing fell into it
                 self.maps[name] = None
         return self.maps[name]
 
@@ -255,34 +277,28 @@ class MappedModel:
         out = np.zeros(len(key), dtype=np.int64)
         ids, at = np.unique(shard[order], return_index=True)
         for s, a, b in zip(ids.tolist(), at.tolist(), [*at[1:].tolist(), len(key)], strict=True):
-            found = self.parts(f"pairs-{s}", 2, lambda n, m: [(2, 2 + n, np.uint64), (2 + n, 2 + n + m, np.uint64), (2 + n + m, 2 + n + 2 * m, np.int64)])
+            found = self.parts(f"pairs-{s}")
             if found is None:
                 continue
             where = order[a:b]
             q = key[where]
             single, more, counts = found
-            out[where] = member(single, q)
-            i = np.searchsorted(more, q)
-            i[i == len(more)] = 0
-            if len(more):
-                hit = more[i] == q
-                out[where[hit]] = counts[i[hit]]
+            out[where[place(single, q) >= 0]] = 1
+            i = place(more, q)
+            out[where[i >= 0]] = counts[i[i >= 0]]
         return out
 
     def words(self, h: np.ndarray) -> np.ndarray:
-        """Rows c, t, n1, n2, n3, cont of sorted distinct hashes; zeros of unknown ones."""
-        out = np.zeros((6, len(h)), dtype=np.int64)
-        bucket = h >> np.uint64(64 - self.model.buckets_log) if self.model.buckets_log else np.zeros_like(h)
-        ids, at = np.unique(bucket, return_index=True)
+        """Rows of STATS of sorted distinct hashes; zeros of unknown ones."""
+        out = np.zeros((len(STATS), len(h)), dtype=np.int64)
+        ids, at = np.unique(h >> np.uint64(64 - self.model.buckets_log), return_index=True)
         for s, a, b in zip(ids.tolist(), at.tolist(), [*at[1:].tolist(), len(h)], strict=True):
-            found = self.parts(f"words-{s}", 1, lambda n: [(1, 1 + n, np.uint64)] + [(1 + n * k, 1 + n * (k + 1), np.int64) for k in range(1, 7)])
-            if found is None or not len(found[0]):
+            found = self.parts(f"words-{s}")
+            if found is None:
                 continue
-            q = h[a:b]
-            i = np.searchsorted(found[0], q)
-            i[i == len(found[0])] = 0
-            hit = np.flatnonzero(found[0][i] == q)
-            for k in range(6):
+            i = place(found[0], h[a:b])
+            hit = np.flatnonzero(i >= 0)
+            for k in range(len(STATS)):
                 out[k, a + hit] = found[k + 1][i[hit]]
         return out
 
@@ -307,40 +323,32 @@ class MappedModel:
         return lengths, add((c[j] > 0).astype(np.int64)), add(base), add(np.log10(p))
 
 
-def member(keys: np.ndarray, q: np.ndarray) -> np.ndarray:
+def place(keys: np.ndarray, q: np.ndarray) -> np.ndarray:
+    """Positions of `q` in the sorted `keys`, -1 where it is not."""
     if not len(keys):
-        return np.zeros(len(q), dtype=bool)
+        return np.full(len(q), -1)
     i = np.searchsorted(keys, q)
     i[i == len(keys)] = 0
-    return keys[i] == q
+    return np.where(keys[i] == q, i, -1)
 
 
 def train(df: DataFrame, *, text_col: str = "text") -> KneserNey:
     """A model of every text of `df`; its files stay in the shared folder until delete()."""
     spark = df.sparkSession
     rows = df.select(F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
-    words = cut(count_words(rows))
-    tokens, vocabulary = words.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
-    heavy = [r["h"] for r in words.filter(F.col("c") > tokens / 1000).select("h").collect()]  # fewer than 1,000
-    heavy = np.array(heavy, dtype=np.int64).view(np.uint64)
-    shards = partitions_for(spark, tokens * 8)
+    tokens, heavy = heavy_words(rows)
+    shards = partitions_for(spark, tokens * 8, 24 << 20)
+    buckets_log = max(3, math.ceil(math.log2(shards)))
     files = SharedFiles.create(spark, "kneser-ney")
     counted = rows.mapInArrow(pair_counter(heavy, shards), "shard long, pairs binary")
-    kinds = "h long, " + ", ".join(f"{c} long" for c in STATS)
-    stats = counted.groupBy("shard").applyInArrow(shard_writer(files), kinds)
-    stats = cut(stats.groupBy("h").agg(*[F.sum(c).alias(c) for c in STATS]))
+    stats = counted.groupBy("shard").applyInArrow(shard_writer(files, buckets_log), "bucket long, stats binary")
+    sums = stats.groupBy("bucket").applyInArrow(word_writer(files), "kind long, m array<long>").collect()  # a row for each bucket
     release(spark)
-    met = stats.filter("h is null").first()
-    pair = discounts([met[c] or 0 for c in STATS[:4]] if met else [0, 0, 0, 0])
-    types = stats.filter("h is not null").agg(F.sum("cont")).first()[0] or 0
-    buckets_log = max(2, math.ceil(math.log2(partitions_for(spark, vocabulary * 56, 16 << 20, 1))))
-    bucket = F.shiftrightunsigned("h", 64 - buckets_log).alias("bucket")
-    joined = stats.filter("h is not null").join(words, "h", "left").select("h", bucket, F.coalesce("c", F.lit(0)).alias("c"), *STATS)
-    written = joined.groupBy("bucket").applyInArrow(word_writer(files), "m1 long, m2 long, m3 long, m4 long, more long")
-    m = written.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("m1", "m2", "m3", "m4", "more")]).first()
-    word = discounts(list(m[:4]))
-    mass = (word[1] * m[0] + word[2] * m[1] + word[3] * m[4]) / max(types, 1)
-    return KneserNey(files, shards, buckets_log, heavy, tokens, vocabulary, types, pair, word, float(mass))
+    met = next((r.m for r in sums if r.kind), [0] * 4)
+    m = np.sum([r.m for r in sums if not r.kind] or [[0] * 8], axis=0).tolist()
+    pair, word = discounts(met), discounts(m[:4])
+    mass = (word[1] * m[0] + word[2] * m[1] + word[3] * m[4]) / max(m[5], 1)
+    return KneserNey(files, shards, buckets_log, heavy, tokens=m[7], vocabulary=m[6], types=m[5], pair=pair, word=word, mass=float(mass))
 
 
 def scored(df: DataFrame, model: KneserNey, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -350,7 +358,7 @@ def scored(df: DataFrame, model: KneserNey, *, id_col: str = "doc_id", text_col:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         mapped, hasher = MappedModel(sent.value), Hasher()
         try:
-            for chunk in chunks(batches, 1):
+            for chunk in chunks(batches, 1, 4 << 20):
                 n, known, base, score = mapped.score([hasher.tokens(t) for t in texts(chunk.column(1))])
                 yield pa.RecordBatch.from_arrays([chunk.column(0), *map(pa.array, (n, known, base, score))], names=["doc_id", "n_tokens", "n_known", "base_score", "score"])
         finally:
