@@ -29,8 +29,8 @@ def sketch(text: Column, size: int = 5, fraction: float = FRACTION) -> Column:
     flip = F.lit(-(2**63)).cast("long")
 
     def keep(a: Column) -> Column:
-        least = F.array_min(a)
-        return F.array_sort(F.array_distinct(F.filter(a, lambda h: (h < F.lit(most)) | (h == least))))
+        kept = bound(F.array_min(a), lambda least: F.filter(a, lambda h: (h < F.lit(most)) | (h == least)))
+        return F.array_sort(F.array_distinct(kept))
 
     return bound(F.transform(shingles(word_hashes(text), size), lambda h: h.bitwiseXOR(flip)), keep)
 
@@ -40,8 +40,7 @@ def merge(a: Column, b: Column, fraction: float = FRACTION) -> Column:
     most = int(fraction * 2**64) - 2**63
 
     def keep(u: Column) -> Column:
-        least = F.array_min(u)
-        return F.array_sort(F.filter(u, lambda h: (h < F.lit(most)) | (h == least)))
+        return F.array_sort(bound(F.array_min(u), lambda least: F.filter(u, lambda h: (h < F.lit(most)) | (h == least))))
 
     return bound(F.array_union(a, b), keep)
 
@@ -63,10 +62,10 @@ def as_text(a: Column) -> Column:
 
 
 def fingerprints(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, text (null: empty), n_chars and sketch of every row."""
+    """doc_id, text (null: empty) and sketch of every row."""
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     rows = df.select(F.col(id_col).cast("long").alias("doc_id"), text.alias("text"))
-    return rows.select("doc_id", "text", F.char_length("text").cast("long").alias("n_chars"), sketch(F.col("text")).alias("sketch"))
+    return rows.select("doc_id", "text", sketch(F.col("text")).alias("sketch"))
 
 
 def following(ids: DataFrame) -> DataFrame:
@@ -90,7 +89,8 @@ def following(ids: DataFrame) -> DataFrame:
 def edited(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Each row with its next document and its edited text (the last third replaced by the next one's beginning).
 
-    Texts are dealt by id once, for both joins; the next document sends no more than the beginning that is needed.
+    Texts are dealt by id once, for both joins (which therefore need the same columns of them); the next document sends
+    no more than the beginning that is needed.
     """
     docs = fingerprints(df, id_col=id_col, text_col=text_col)
     source = df.select(F.col(id_col).cast("long").alias("doc_id"), F.char_length(F.coalesce(F.col(text_col).cast("string"), F.lit(""))).alias("n"))
@@ -101,10 +101,11 @@ def edited(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") ->
     begin = F.struct(F.substring("text", F.lit(1), F.col("most")).alias("begin"), F.col("sketch").alias("next_sketch"))
     sent = sent.select("before", begin.alias("sent")).groupBy("before").agg(F.max("sent").alias("sent"))
     rows = docs.join(sent, F.col("doc_id").eqNullSafe(F.col("before")))
+    rows = rows.withColumn("n_chars", F.char_length("text"))
     cut_off = F.floor(F.col("n_chars") / 3).cast("int")
-    head = F.substring("text", F.lit(1), F.col("n_chars").cast("int") - cut_off)
+    head = F.substring("text", F.lit(1), F.col("n_chars") - cut_off)
     text = F.concat(head, F.substring(F.col("sent.begin"), F.lit(1), cut_off))
-    return rows.select("doc_id", "n_chars", "sketch", F.col("sent.next_sketch").alias("next_sketch"), text.alias("edited"))
+    return rows.select("doc_id", F.col("n_chars").cast("long").alias("n_chars"), "sketch", F.col("sent.next_sketch").alias("next_sketch"), text.alias("edited"))
 
 
 def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
