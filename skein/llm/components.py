@@ -11,16 +11,16 @@ from skein.llm.common import cut
 def components(edges: DataFrame) -> DataFrame:
     """(node, label) of every node of `edges` (a, b): label is the least node of its component.
 
-    A round gives each node the least label among its own and its neighbours' and then that label's own label. Every
-    join reads written tables on both sides, so a hub's or a large component's rows can be split among tasks.
+    A round gives each node the least label among its own and its neighbours', and then the label which that one had. The
+    tables that hold a hub's or a large component's rows are dealt for the join alone, so its rows can be split.
     """
     both = cut(edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct())
     labels = cut(both.groupBy(F.col("a").alias("node")).agg(F.min(F.least("a", "b")).alias("label")))
     while True:
         sent = both.join(labels, both.b == labels.node).groupBy("a").agg(F.min("label").alias("least"))
-        hooked = cut(labels.join(sent, labels.node == sent.a, "left").select("node", F.least("label", F.coalesce("least", "label")).alias("label"), F.col("label").alias("was")))
-        up = hooked.select(F.col("node").alias("at"), F.col("label").alias("top"))
-        after = cut(hooked.join(up, hooked.label == up.at, "left").select("node", F.least("label", F.coalesce("top", "label")).alias("label"), "was"))
+        hooked = labels.join(sent, labels.node == sent.a, "left").select("node", F.least("label", F.coalesce("least", "label")).alias("label"), F.col("label").alias("was"))
+        up = labels.select(F.col("node").alias("at"), F.col("label").alias("top"))
+        after = cut(hooked.join(up, F.col("label") == F.col("at"), "left").select("node", F.least("label", F.coalesce("top", "label")).alias("label"), "was"))
         changed = after.filter(F.col("label") != F.col("was")).limit(1).count()
         labels = after.select("node", "label")
         if not changed:
