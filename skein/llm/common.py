@@ -67,8 +67,10 @@ def texts(column: pa.Array) -> list[str]:
 def with_results(df: DataFrame, text_col: str, keep: list[str], fields: T.StructType, start: Callable[[], Callable[[list], list[pa.Array]]]) -> DataFrame:
     """`keep` columns of `df` and the `fields` that start()(texts) gives for each batch of texts; nothing is shuffled.
 
-    start() is called once a task; it is given texts as they are, nulls included.
+    start() is called once a task; it is given texts as they are, nulls included. A field takes the place of a kept
+    column of its name.
     """
+    keep = [c for c in keep if c not in fields.names]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         of = start()
