@@ -1,6 +1,6 @@
 """Corpus preparation: stages that each read what the one before has written.
 
-Toxic texts go, then texts in no known language, then near copies (the least id of each group stays), then texts that
+Toxic texts go, then texts without a language (null or without a letter; a short text's low score is no ground), then near copies (the least id of each group stays), then texts that
 hold benchmark items; the rest is packed. Rows of null id are treated as one id; no stage reads a column but doc_id,
 text and (to learn from) lang, and all but the last return every column of their input.
 """
@@ -17,9 +17,6 @@ from skein.llm.native import small_side
 #: A text scores at least this if it is toxic.
 TOXIC = 0.5
 
-#: The least score of a text in a known language: a score of 0.5 is no evidence for or against the best language.
-KNOWN_LANGUAGE = 0.3
-
 
 def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
@@ -29,8 +26,7 @@ def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     found = language_id.fit(docs).predict(docs, names=("__lang", "__score"))
-    known = (F.col("__lang") != language_id.UNKNOWN) & (F.col("__score") >= KNOWN_LANGUAGE)
-    return found.filter(known).select(*docs.columns)
+    return found.filter(F.col("__lang") != language_id.UNKNOWN).select(*docs.columns)
 
 
 def dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
