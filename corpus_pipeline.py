@@ -1,8 +1,9 @@
 """Corpus preparation: stages that each read what the one before has written.
 
-Toxic texts go, then texts without a language (null or without a letter; a short text's low score is no ground), then near copies (the least id of each group stays), then texts that
-hold benchmark items; the rest is packed. Rows of null id are treated as one id; no stage reads a column but doc_id,
-text and (to learn from) lang, and all but the last return every column of their input.
+Toxic texts go, then texts without a language (null or without a letter; a short text's low score is no ground), then
+near copies (the least id of each group stays), then texts that hold benchmark items; the rest is packed. Rows of null
+id are treated as one id; no stage reads a column but doc_id, text and (to learn from) lang, and all but the last return
+every column of their input.
 """
 
 from __future__ import annotations

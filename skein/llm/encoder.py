@@ -18,7 +18,7 @@ import numpy as np
 import regex
 
 #: Chunks held in memory by one worker; beyond it the memo starts anew.
-MEMO = 500_000
+MEMO = 250_000
 
 #: Fixed value: the vocabulary's pre-tokenisation pattern.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"

@@ -25,7 +25,7 @@ from skein.llm.common import chunks, table, texts
 from skein.llm.encoder import PATTERN, byte_alphabet
 
 #: Chunks whose counts one worker holds; beyond it the memo starts anew.
-MEMO = 500_000
+MEMO = 250_000
 
 #: Byte symbols merged in one go.
 MERGE_BYTES = 1 << 20

@@ -36,7 +36,7 @@ from skein.llm.encoder import Memo
 START, END = "\x02", "\x03"
 
 #: Words whose evidence one worker holds; beyond it the memo starts anew.
-MEMO = 300_000
+MEMO = 150_000
 
 
 def words_of(text: str) -> list[str]:
