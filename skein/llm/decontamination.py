@@ -15,7 +15,7 @@ columns are not looked at.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skein.llm.common import cut, table
@@ -32,6 +32,12 @@ def blocks_of(fp, radius: int):
     return F.posexplode(F.array(*parts)).alias("block", "value")
 
 
+def short_runs(hashes: Column, n: int) -> Column:
+    """Hashes of all runs of n words, as the only shingle of an item of n words is hashed: as one array."""
+    starts = F.when(F.size(hashes) >= n, F.sequence(F.lit(0), F.size(hashes) - n)).otherwise(F.array().cast("array<int>"))
+    return F.transform(starts, lambda i: F.xxhash64(F.slice(hashes, i + 1, n)))
+
+
 def contaminated(docs: DataFrame, items: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", size: int = 5, radius: int = 20, similarity: float = 0.8) -> DataFrame:
     """doc_id, item_id, start (in words), hamming and similarity of the best window of every matching document and item."""
     wh = word_hashes(F.col(item_text_col))
@@ -46,9 +52,7 @@ def contaminated(docs: DataFrame, items: DataFrame, *, id_col: str = "doc_id", t
     runs = words.select("doc_id", F.posexplode(shingles(F.col("wh"), size, whole=False)).alias("at", "h"))
     hits = runs.join(small_side(seeds.filter(F.col("n") >= size), n_seeds, BROADCAST_ROWS), "h")
     for n in lengths:
-        # An item's own shingle is the hash of its word hashes as one array; a run of as many words is hashed alike.
-        first = F.when(F.size("wh") >= n, F.sequence(F.lit(0), F.size("wh") - n)).otherwise(F.array().cast("array<int>"))
-        runs = words.select("doc_id", F.posexplode(F.transform(first, lambda i, n=n: F.xxhash64(F.slice("wh", i + 1, n)))).alias("at", "h"))
+        runs = words.select("doc_id", F.posexplode(short_runs(F.col("wh"), n)).alias("at", "h"))
         hits = hits.unionByName(runs.join(small_side(seeds.filter(F.col("n") == n), n_seeds, BROADCAST_ROWS), "h"))
     starts = cut(hits.select("doc_id", F.greatest(F.col("at") - F.col("j"), F.lit(0)).alias("start"), "n").distinct())
     n_starts = starts.count()
