@@ -5,12 +5,17 @@ Addresses of one family compare and group as their bytes; the bytes of an addres
 
 from __future__ import annotations
 
+from weakref import WeakSet
+
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 INET = T.StructType().add("family", T.ByteType()).add("addr", T.BinaryType()).add("prefix", T.ShortType())
 
+#: Sessions that have the functions.
+_registered: WeakSet[SparkSession] = WeakSet()
+
 OCTET = r"(25[0-5]|2[0-4][0-9]|[01]?[0-9]?[0-9])"
 IPV4 = rf"{OCTET}(\\.{OCTET}){{3}}"
 GROUPS = r"([0-9a-f]{1,4}(:[0-9a-f]{1,4})*)?"
@@ -75,8 +80,11 @@ def inet_contained_by(address: str, network: str) -> Column:
 
 
 def register(spark: SparkSession) -> None:
-    """to_inet, inet_text and inet_contained_by as temporary SQL functions of the session."""
+    """to_inet, inet_text and inet_contained_by as temporary SQL functions of the session, made once."""
+    if spark in _registered:
+        return
     kind = "STRUCT<family: TINYINT, addr: BINARY, prefix: SMALLINT>"
     spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION to_inet(s STRING) RETURNS {kind} RETURN {to_inet_sql('s')}")
     spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION inet_text(a {kind}) RETURNS STRING RETURN {inet_text_sql('a')}")
     spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION inet_contained_by(a {kind}, b {kind}) RETURNS BOOLEAN RETURN {contained_by_sql('a', 'b')}")
+    _registered.add(spark)
