@@ -21,11 +21,15 @@ from skein.llm.common import cut, table
 MASK = "array<struct<chars:int,train:boolean>>"
 
 
-def conversations(df: DataFrame, *, id_col: str = "conv_id", turn_col: str = "turn", role_col: str = "role", text_col: str = "text") -> DataFrame:
-    """(conv_id, turns) with the turns as an array of (turn, role, text)."""
+def turns_of(df: DataFrame, *, id_col: str = "conv_id", turn_col: str = "turn", role_col: str = "role", text_col: str = "text") -> DataFrame:
+    """(conv_id, t) of every row, t a turn: (turn, role, text)."""
     role, text = F.coalesce(F.col(role_col).cast("string"), F.lit("unknown")), F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    turn = F.struct(F.col(turn_col).cast("long").alias("turn"), role.alias("role"), text.alias("text"))
-    return df.select(F.col(id_col).alias("conv_id"), turn.alias("t")).groupBy("conv_id").agg(F.sort_array(F.collect_list("t")).alias("turns"))
+    return df.select(F.col(id_col).alias("conv_id"), F.struct(F.col(turn_col).cast("long").alias("turn"), role.alias("role"), text.alias("text")).alias("t"))
+
+
+def conversations(turns: DataFrame) -> DataFrame:
+    """(conv_id, turns) of turns_of()'s rows."""
+    return turns.groupBy("conv_id").agg(F.sort_array(F.collect_list("t")).alias("turns"))
 
 
 def header(turn: Column) -> Column:
@@ -73,21 +77,28 @@ def ranked(keys: DataFrame, *order: str) -> DataFrame:
     return rows.join(F.broadcast(sizes), F.col("part") == F.col("of")).withColumn("rank", F.col("base") + F.col("at")).drop("part", "of", "base", "at")  # a row for each range
 
 
-def pair_up(convs: DataFrame) -> DataFrame:
+def pair_up(turns: DataFrame) -> DataFrame:
     """Pairs of neighbours in the order of the opening turns' digests and ids: conversations that open alike meet.
 
-    However many open alike, an order has no groups, so nothing is gathered for one opening.
+    However many open alike, an order has no groups, so nothing is gathered for one opening. The order needs opening
+    turns only; all turns are dealt twice, for their conversation's place and for their pair.
     """
-    first = F.element_at("turns", 1)
-    keys = convs.select("conv_id", F.md5(F.concat(header(first), first.text).cast("binary")).alias("opening"))
+    first = turns.groupBy("conv_id").agg(F.min("t").alias("t"))
+    keys = first.select("conv_id", F.md5(F.concat(header(F.col("t")), F.col("t").text).cast("binary")).alias("opening"))
     places = cut(ranked(keys, "opening", "conv_id").select(F.col("conv_id").alias("id"), F.floor(F.col("rank") / 2).alias("pair_id"), (F.col("rank") % 2).alias("side")))
-    met = convs.join(places, F.col("conv_id").eqNullSafe(F.col("id")))
-    side = lambda n, c: F.max(F.when(F.col("side") == n, F.col(c)))
-    return met.groupBy("pair_id").agg(side(0, "conv_id").alias("chosen_id"), side(0, "turns").alias("chosen"), side(1, "conv_id").alias("rejected_id"), side(1, "turns").alias("rejected"))
+    met = turns.join(places, F.col("conv_id").eqNullSafe(F.col("id")))
+    of = lambda n, c: F.when(F.col("side") == n, F.col(c))
+    pairs = met.groupBy("pair_id").agg(
+        F.max(of(0, "conv_id")).alias("chosen_id"),
+        F.sort_array(F.collect_list(of(0, "t"))).alias("chosen"),
+        F.max(of(1, "conv_id")).alias("rejected_id"),
+        F.sort_array(F.collect_list(of(1, "t"))).alias("rejected"),
+    )
+    return pairs.withColumn("rejected", F.when(F.size("rejected") > 0, F.col("rejected")))
 
 
 def op1_chat_preferences(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = preferences(pair_up(conversations(table(spark, sf_dir, "conversations"))))
+    found = preferences(pair_up(turns_of(table(spark, sf_dir, "conversations"))))
     runs = lambda c: F.array_join(F.transform(c, lambda r: F.concat(F.when(r.train, F.lit("+")).otherwise(F.lit("-")), r.chars.cast("string"))), "")
     found = found.withColumns({c: runs(F.col(c)) for c in ("chosen_mask", "rejected_mask")})
     return found.withColumn("rejected_id", F.coalesce("rejected_id", F.lit(-1)))

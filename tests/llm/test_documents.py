@@ -86,14 +86,15 @@ def test_license_query_against_plain_search(spark, documents):
 def test_preferences(spark):
     turns = [("a", 0, "user", "hi"), ("a", 1, "assistant", "yes"), ("b", 0, "user", "hi"), ("b", 1, "assistant", "no"), ("b", 2, "user", None), ("c", 0, None, "lone")]
     df = spark.createDataFrame([(*t, 1) for t in turns], "conv_id string, turn int, role string, text string, side int")
-    convs = chat.conversations(df)
-    rows = sorted(chat.preferences(chat.pair_up(convs)).collect(), key=lambda r: r.pair_id)
+    turns_df = chat.turns_of(df)
+    convs = chat.conversations(turns_df)
+    rows = sorted(chat.preferences(chat.pair_up(turns_df)).collect(), key=lambda r: r.pair_id)
     assert len(rows) == 2 and {i for r in rows for i in (r.chosen_id, r.rejected_id)} == {"a", "b", "c", None}
     pair = convs.alias("x").join(convs.alias("y"), F.expr("x.conv_id = 'a' AND y.conv_id = 'b'")).selectExpr("0 AS pair_id", "x.conv_id AS chosen_id", "x.turns AS chosen", "y.conv_id AS rejected_id", "y.turns AS rejected")
     r = chat.preferences(pair).first()
     assert (r.n_common, r.prompt, r.chosen, r.rejected) == (1, "<|user|>\nhi\n", "<|assistant|>\nyes\n", "<|assistant|>\nno\n<|user|>\n\n")
     assert sum(m.chars for m in r.rejected_mask) == len(r.rejected) and [tuple(m) for m in r.chosen_mask] == [(14, False), (4, True)]
-    assert chat.preferences(chat.pair_up(chat.conversations(df.filter("false")))).count() == 0
+    assert chat.preferences(chat.pair_up(chat.turns_of(df.filter("false")))).count() == 0
 
 
 def test_preferences_against_sql(spark):
