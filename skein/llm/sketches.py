@@ -68,6 +68,11 @@ def fingerprints(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "text
     return rows.select("doc_id", "text", sketch(F.col("text")).alias("sketch"))
 
 
+def keyed(df: DataFrame, column: str, prefix: str) -> DataFrame:
+    """`df` with a null-safe key of an id in two columns: joins and groups by them share one way of dealing rows."""
+    return df.withColumns({f"{prefix}key": F.coalesce(column, F.lit(0)), f"{prefix}none": F.col(column).isNull()})
+
+
 def following(ids: DataFrame) -> DataFrame:
     """(doc_id, next_id) in descending order of distinct `ids` (after the last: the first), nulls last.
 
@@ -92,20 +97,22 @@ def edited(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") ->
     Texts are dealt by id once, for both joins (which therefore need the same columns of them); the next document sends
     no more than the beginning that is needed.
     """
-    docs = fingerprints(df, id_col=id_col, text_col=text_col)
+    docs = keyed(fingerprints(df, id_col=id_col, text_col=text_col), "doc_id", "").drop("doc_id")
     source = df.select(F.col(id_col).cast("long").alias("doc_id"), F.char_length(F.coalesce(F.col(text_col).cast("string"), F.lit(""))).alias("n"))
     most = cut(source.groupBy("doc_id").agg((F.max("n") / 3).cast("int").alias("most")))
     pairs = most.join(following(most.select("doc_id")).withColumnRenamed("doc_id", "id"), F.col("doc_id").eqNullSafe(F.col("id")))
-    pairs = cut(pairs.select(F.col("doc_id").alias("before"), "next_id", "most"))
-    sent = docs.join(pairs, F.col("doc_id").eqNullSafe(F.col("next_id")))
+    pairs = cut(keyed(keyed(pairs.select("doc_id", "next_id", "most"), "doc_id", "before_"), "next_id", "next_"))
+    pairs = pairs.select("before_key", "before_none", "next_key", "next_none", "most")
+    sent = docs.join(pairs, (F.col("key") == F.col("next_key")) & (F.col("none") == F.col("next_none")))
     begin = F.struct(F.substring("text", F.lit(1), F.col("most")).alias("begin"), F.col("sketch").alias("next_sketch"))
-    sent = sent.select("before", begin.alias("sent")).groupBy("before").agg(F.max("sent").alias("sent"))
-    rows = docs.join(sent, F.col("doc_id").eqNullSafe(F.col("before")))
+    sent = sent.select("before_key", "before_none", begin.alias("sent")).groupBy("before_key", "before_none").agg(F.max("sent").alias("sent"))
+    rows = docs.join(sent, (F.col("key") == F.col("before_key")) & (F.col("none") == F.col("before_none")))
     rows = rows.withColumn("n_chars", F.char_length("text"))
     cut_off = F.floor(F.col("n_chars") / 3).cast("int")
     head = F.substring("text", F.lit(1), F.col("n_chars") - cut_off)
     text = F.concat(head, F.substring(F.col("sent.begin"), F.lit(1), cut_off))
-    return rows.select("doc_id", F.col("n_chars").cast("long").alias("n_chars"), "sketch", F.col("sent.next_sketch").alias("next_sketch"), text.alias("edited"))
+    own = F.when(~F.col("none"), F.col("key")).alias("doc_id")
+    return rows.select(own, F.col("n_chars").cast("long").alias("n_chars"), "sketch", F.col("sent.next_sketch").alias("next_sketch"), text.alias("edited"))
 
 
 def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
