@@ -44,9 +44,12 @@ def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return packing.packed(docs)
+    return packing.packed(docs, memo=MEMO)
 
 
+#: Chunks a worker's encoder holds: workers outlive stages, whose memory adds up.
+MEMO = 200_000
+
 STAGES = [
     ("toxicity", toxicity_stage),
     ("language", language_stage),

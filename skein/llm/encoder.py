@@ -18,7 +18,7 @@ import numpy as np
 import regex
 
 #: Chunks held in memory by one worker; beyond it the memo starts anew.
-MEMO = 250_000
+MEMO = 500_000
 
 #: Fixed value: the vocabulary's pre-tokenisation pattern.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -117,6 +117,6 @@ class ChunkEncoder:
 
 
 @functools.lru_cache(maxsize=1)
-def worker_encoder(path: str) -> ChunkEncoder:
+def worker_encoder(path: str, memo: int = MEMO) -> ChunkEncoder:
     """The encoder of this worker process: its tables and memo outlive a task."""
-    return ChunkEncoder(path)
+    return ChunkEncoder(path, memo)

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skein.llm.common import chunks, table, texts
-from skein.llm.encoder import worker_encoder
+from skein.llm.encoder import MEMO, worker_encoder
 
 SCHEMA = "doc_id long, start long, length long, doc_tokens long, sequence_id long, offset long, ids binary"
 
@@ -76,11 +76,11 @@ def pack_parts(sizes: np.ndarray, capacity: int) -> list[list[int]]:
         k += max(1, math.ceil(over * k / capacity / 4))
 
 
-def packer(path: str, capacity: int, part: int, end: int, batch: int):
+def packer(path: str, capacity: int, part: int, end: int, batch: int, memo: int):
     """A mapInArrow function from (doc_id, text) to rows of SCHEMA."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = worker_encoder(path)
+        encoder = worker_encoder(path, memo)
         tail = np.array([end], dtype="<u4").tobytes()
         base, used = TaskContext.get().partitionId() << 40, 0
         schema = pa.schema([(n, pa.int64()) for n in ("doc_id", "start", "length", "doc_tokens", "sequence_id", "offset")] + [("ids", pa.binary())])
@@ -125,21 +125,21 @@ def packer(path: str, capacity: int, part: int, end: int, batch: int):
     return run
 
 
-def pack(df: DataFrame, tokenizer: str, *, id_col: str = "doc_id", text_col: str = "text", capacity: int = 1024, part: int = 128, end: int = 0, batch: int = 2048) -> DataFrame:
+def pack(df: DataFrame, tokenizer: str, *, id_col: str = "doc_id", text_col: str = "text", capacity: int = 1024, part: int = 128, end: int = 0, batch: int = 2048, memo: int = MEMO) -> DataFrame:
     """Pieces of the documents' id sequences (each with `end` added), packed into windows of `capacity` tokens.
 
     Columns: doc_id, start, length, doc_tokens, sequence_id, offset, and ids, the piece's little-endian uint32 ids.
     Windows are made within a task, so nothing is shuffled; a task adds less than a window of padding beyond its batches'.
     """
     rows = df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return rows.mapInArrow(packer(tokenizer, capacity, part, end, batch), SCHEMA)
+    return rows.mapInArrow(packer(tokenizer, capacity, part, end, batch, memo), SCHEMA)
 
 
-def packed(documents: DataFrame) -> DataFrame:
+def packed(documents: DataFrame, memo: int = MEMO) -> DataFrame:
     """Pieces by byte_bpe_50k.json, with the checksum of their ids in place of the ids."""
     import public_tokenizers
 
-    pieces = pack(documents, public_tokenizers.path("byte_bpe_50k.json"))
+    pieces = pack(documents, public_tokenizers.path("byte_bpe_50k.json"), memo=memo)
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
