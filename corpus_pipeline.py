@@ -2,8 +2,7 @@
 
 Toxic texts go, then texts without a language (null or without a letter; a short text's low score is no ground), then
 near copies (the least id of each group stays), then texts that hold benchmark items; the rest is packed. Rows of null
-id are treated as one id; no stage reads a column but doc_id, text and (to learn from) lang, and all but the last return
-every column of their input.
+id are treated as one id; no stage reads a column but doc_id, text and (to learn from) lang, and all but the last return every column of their input.
 """
 
 from __future__ import annotations
@@ -11,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skein.llm import decontamination, language_id, packing, simhash_dedup, toxicity
+from skein.llm import decontamination, language_id, near_copies, packing, toxicity
 from skein.llm.common import cut, shared_dir, table
 from skein.llm.native import small_side
 
@@ -31,8 +30,8 @@ def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    found = simhash_dedup.near_duplicates(docs)
-    kept = found.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("__id")).distinct()
+    found = cut(near_copies.near_copies(docs))
+    kept = found.groupBy("copy_group").agg(F.min("doc_id").alias("__id")).select("__id").distinct()
     return docs.join(kept, F.col("doc_id").eqNullSafe(F.col("__id")), "left_semi").dropDuplicates(["doc_id"])
 
 

@@ -1,3 +1,5 @@
+import random
+
 import corpus_pipeline
 from skein.llm import simhash_dedup
 from tests.conftest import DATA
@@ -30,3 +32,25 @@ def test_run(spark, documents):
     for i in kept:
         own = [r for r in rows if r.doc_id == i]
         assert sum(r.length for r in own) == own[0].doc_tokens
+
+
+def near_dedup(spark, rows):
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    return sorted(map(tuple, corpus_pipeline.dedup_stage(spark, df, DATA).collect()), key=repr)
+
+
+def test_near_copies_of_similarity_four_fifths(spark):
+    """Pairs around a Jaccard of 0.8, whose fingerprints differ in many bits, against the definition; null ids too."""
+    r = random.Random(8)
+    grams = lambda w: {tuple(w[i : i + 5]) for i in range(len(w) - 4)}
+    rows, gone = [], 0
+    for k in range(40):
+        a = [f"w{r.randrange(10**6)}" for _ in range(120)]
+        b = list(a)
+        for at in r.sample(range(10, 110), 1 + k % 4):
+            b[at] = "changed"
+        x, y = grams(a), grams(b)
+        rows += [(2 * k, " ".join(a)), (2 * k + 1, " ".join(b))]
+        gone += len(x & y) / len(x | y) >= 0.8
+    assert 10 < gone < 40
+    assert len(near_dedup(spark, rows)) == len(rows) - gone
