@@ -1,8 +1,9 @@
 """Corpus preparation: stages that each read what the one before has written.
 
 Toxic texts go, then texts without a language (null or without a letter; a short text's low score is no ground), then
-near copies (the least id of each group stays), then texts that hold benchmark items; the rest is packed. Rows of null
-id are treated as one id; no stage reads a column but doc_id, text and (to learn from) lang, and all but the last return every column of their input.
+near copies (one row of each group stays, that of the least id), then texts that hold benchmark items; the rest is
+packed. Copies are told by their texts, whatever their ids, so different texts of a null or repeated id all stay; no
+stage reads a column but doc_id, text and (to learn from) lang, and all but the last return every column of their input.
 """
 
 from __future__ import annotations
@@ -30,9 +31,19 @@ def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    found = cut(near_copies.near_copies(docs))
-    kept = found.groupBy("copy_group").agg(F.min("doc_id").alias("__id")).select("__id").distinct()
-    return docs.join(kept, F.col("doc_id").eqNullSafe(F.col("__id")), "left_semi").dropDuplicates(["doc_id"])
+    rows = cut(near_copies.near_copies(docs).groupBy("doc_id", "text_key", "copy_group").agg(F.count("*").alias("times")))
+    rank = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_key")
+    least = rows.groupBy("copy_group").agg(F.min(rank).alias("least"))
+    first = F.col("doc_id").eqNullSafe(F.col("least.doc_id")) & (F.col("text_key") == F.col("least.text_key"))
+    marked = rows.join(least, "copy_group").select(F.col("doc_id").alias("__id"), F.col("text_key").alias("__key"), first.alias("__first"), "times")
+    marked = cut(marked.filter("NOT __first OR times > 1").drop("times"))
+    marked = small_side(marked, marked.count(), near_copies.BROADCAST_ROWS)
+    keyed = docs.withColumn("__text_key", near_copies.text_key())
+    same = (F.col("__text_key") == F.col("__key")) & F.col("doc_id").eqNullSafe(F.col("__id"))
+    found = keyed.join(marked, same, "left")
+    alone = found.filter(F.col("__first").isNull())
+    repeated = found.filter("__first").dropDuplicates(["__id", "__text_key"])
+    return alone.unionByName(repeated).select(*docs.columns)
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -54,3 +54,11 @@ def test_near_copies_of_similarity_four_fifths(spark):
         gone += len(x & y) / len(x | y) >= 0.8
     assert 10 < gone < 40
     assert len(near_dedup(spark, rows)) == len(rows) - gone
+
+
+def test_rows_of_null_and_repeated_ids_keep_their_texts(spark):
+    texts = [f"text number {k} of its own with words like {k * 7} and {k * 13} to tell it from the others" for k in range(6)]
+    rows = [(None, texts[0]), (None, texts[1]), (None, texts[1]), (3, texts[2]), (3, texts[3]), (3, texts[3]), (4, texts[3]), (None, texts[4]), (9, texts[4]), (10, texts[5])]
+    want = [(None, texts[0]), (None, texts[1]), (3, texts[2]), (3, texts[3]), (9, texts[4]), (10, texts[5])]
+    assert near_dedup(spark, rows) == sorted(want, key=repr)
+    assert near_dedup(spark, [(None, None), (None, ""), (1, " ")]) == [(1, " ")]
