@@ -1,9 +1,9 @@
 """Benchmark decontamination: SimHash of item-sized windows, multi-index Hamming blocks, exact verification.
 
 Texts are lower-cased words; shingles are five words (an item of fewer words is one shingle of its own length). A
-window that is to reach a similarity above zero shares a shingle with an item, so windows are laid out where a
-document's shingle is an item's: as long as the item, and starting where the item would start. All such windows are
-taken, no other can match. Each window and each item has a SimHash; the 64 bits are split into `radius + 1` blocks, and
+window that is to reach a similarity above zero has a shingle of an item, so every window is laid out that is as long as
+an item and holds a shingle of an item of that length, wherever in it; no other can match. Windows that would start
+before the text or end after it, if the item stood where it has the shingle, are taken as far as the text goes. Each window and each item has a SimHash; the 64 bits are split into `radius + 1` blocks, and
 windows meet the items of their length that agree on a block, which holds for every pair within `radius` bits. Pairs
 within the radius are verified by the exact weighted Jaccard similarity of their shingles, weighted by how often each
 occurs; `similarity` or more counts.
@@ -38,6 +38,13 @@ def short_runs(hashes: Column, n: int) -> Column:
     return F.transform(starts, lambda i: F.xxhash64(F.slice(hashes, i + 1, n)))
 
 
+def window_starts(at: Column, j: Column, n: Column, length: Column, size: int) -> Column:
+    """Starts of the windows of n words, in a text of `length` words, that hold the shingle at `at`, shingle j of an item."""
+    low = F.greatest(at - n + F.least(n, F.lit(size)), F.lit(0))
+    whole = F.sequence(low, F.greatest(F.least(at, length - n), low))
+    return F.array_union(whole, F.array(F.greatest(at - j, F.lit(0))))
+
+
 def contaminated(docs: DataFrame, items: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", size: int = 5, radius: int = 20, similarity: float = 0.8) -> DataFrame:
     """doc_id, item_id, start (in words), hamming and similarity of the best window of every matching document and item."""
     wh = word_hashes(F.col(item_text_col))
@@ -48,17 +55,22 @@ def contaminated(docs: DataFrame, items: DataFrame, *, id_col: str = "doc_id", t
     seeds = cut(seeds.select("n", "j", "h").distinct())
     n_seeds = seeds.count()
 
-    words = docs.select(F.col(id_col).alias("doc_id"), word_hashes(F.col(text_col)).alias("wh"))
-    runs = words.select("doc_id", F.posexplode(shingles(F.col("wh"), size, whole=False)).alias("at", "h"))
+    text = F.col(text_col).cast("string")
+    words = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(F.coalesce(text, F.lit(""))).alias("key"), word_hashes(text).alias("wh"))
+    held = lambda runs: words.select("key", F.size("wh").alias("size"), F.posexplode(runs).alias("at", "h"))
+    runs = held(shingles(F.col("wh"), size, whole=False))
     hits = runs.join(small_side(seeds.filter(F.col("n") >= size), n_seeds, BROADCAST_ROWS), "h")
     for n in lengths:
-        runs = words.select("doc_id", F.posexplode(short_runs(F.col("wh"), n)).alias("at", "h"))
+        runs = held(short_runs(F.col("wh"), n))
         hits = hits.unionByName(runs.join(small_side(seeds.filter(F.col("n") == n), n_seeds, BROADCAST_ROWS), "h"))
-    starts = cut(hits.select("doc_id", F.greatest(F.col("at") - F.col("j"), F.lit(0)).alias("start"), "n").distinct())
+    hits = hits.groupBy("key", "n", "size").agg(F.collect_set(F.struct("at", "j")).alias("hits"))
+    starts = hits.select("key", "n", F.array_distinct(F.flatten(F.transform("hits", lambda p: window_starts(p.at, p.j, F.col("n"), F.col("size"), size)))).alias("starts"))
+    starts = cut(starts)
     n_starts = starts.count()
 
-    at_doc = starts.withColumnRenamed("doc_id", "of")
-    near = words.join(small_side(at_doc, n_starts, BROADCAST_ROWS), F.col("doc_id").eqNullSafe(F.col("of")))
+    at_text = starts.withColumnRenamed("key", "of")
+    near = words.join(small_side(at_text, n_starts, BROADCAST_ROWS // 32), F.col("key") == F.col("of"))
+    near = near.select("doc_id", "wh", "n", F.explode("starts").alias("start"))
     window = F.slice("wh", F.col("start") + 1, F.col("n"))
     windows = near.select("doc_id", "start", "n", shingles(window, size).alias("a"))
     windows = cut(windows.withColumn("fp", simhash(F.col("a"))))

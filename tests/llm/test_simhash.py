@@ -163,3 +163,18 @@ def test_native_simhash_is_the_majority(spark):
         bits = np.array([[(x >> b) & 1 for b in range(64)] for x in row.a]).reshape(-1, 64)
         want = sum(1 << b for b in range(64) if 2 * bits[:, b].sum() > len(row.a))
         assert row.f % 2**64 == want
+
+
+def test_reordered_passages_are_found(spark):
+    """An item whose halves or thirds have changed places, anywhere in a text, against every window of the text."""
+    items = [(k, " ".join(words(60, 900 + k))) for k in range(3)]
+    docs = []
+    for d, at in enumerate((0, 1, 100, 140)):
+        for k, cuts in enumerate(((30,), (25,), (20, 40))):
+            w, around = items[k][1].split(), words(140, 50 + d)
+            parts = [w[a:b] for a, b in zip((0, *cuts), (*cuts, 60), strict=True)]
+            docs.append((10 * d + k, " ".join(around[:at] + sum(reversed(parts), []) + around[at:])))
+    want = plain_contaminated(docs, items)
+    assert len(want) >= 8
+    df, bench = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    assert {(r.doc_id, r.item_id) for r in decontamination.contaminated(df, bench).collect()} == want
