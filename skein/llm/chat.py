@@ -66,26 +66,49 @@ def preferences(pairs: DataFrame) -> DataFrame:
     )
 
 
-def ranked(keys: DataFrame, *order: str) -> DataFrame:
-    """`keys` with `rank`, from 0 in the given order: ranks inside ranges, plus the sizes of the ranges before."""
-    ranged = cut(keys.repartitionByRange(*order).withColumn("part", F.spark_partition_id()))
-    sizes = ranged.groupBy("part").agg(F.count("*").alias("size"))
+def running(rows: DataFrame, value: Column, *order: str) -> Column:
+    """Of rows with `part`, numbered in the given order: the sum of `value` over the rows before, as a column for `rows`."""
+    sizes = rows.groupBy("part").agg(F.sum(value).alias("size"))
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    sizes = sizes.select(F.col("part").alias("of"), F.coalesce(F.sum("size").over(before), F.lit(0)).alias("base"))
-    inside = Window.partitionBy("part").orderBy(*order)
-    rows = ranged.withColumn("at", F.row_number().over(inside) - 1)
-    return rows.join(F.broadcast(sizes), F.col("part") == F.col("of")).withColumn("rank", F.col("base") + F.col("at")).drop("part", "of", "base", "at")  # a row for each range
+    sizes = sizes.select("part", F.coalesce(F.sum("size").over(before), F.lit(0)).alias("base"))  # a row for each range
+    inside = Window.partitionBy("part").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    rows = rows.withColumn("at", F.coalesce(F.sum(value).over(inside), F.lit(0)))
+    return rows.join(F.broadcast(sizes), "part").withColumn("before", F.col("base") + F.col("at")).drop("base", "at")
+
+
+def placed(keys: DataFrame) -> DataFrame:
+    """conv_id, pair_id and side of `keys` (conv_id, opening): pairs within an opening first, the odd ones left over among themselves.
+
+    Only an opening that is the first or last of its range can go on in another; these few are added up over the ranges.
+    """
+    order = ("opening", "conv_id")
+    rows = cut(keys.repartitionByRange(*order).withColumn("part", F.spark_partition_id()))
+    rows = running(rows, F.lit(1), *order).withColumnRenamed("before", "rank")
+    own = Window.partitionBy("part", "opening")
+    rows = cut(rows.withColumns({"first": F.min("rank").over(own), "n": F.count("*").over(own)}))
+    ends = rows.groupBy("part").agg(F.array(F.min("opening"), F.max("opening")).alias("ends")).select(F.explode("ends").alias("opening")).distinct()
+    whole = rows.join(F.broadcast(ends), "opening").groupBy("opening").agg(F.min("rank").alias("all_first"), F.count("*").alias("all_n"))
+    rows = rows.join(F.broadcast(whole), "opening", "left")
+    rows = rows.withColumns({"first": F.coalesce("all_first", "first"), "n": F.coalesce("all_n", "n")})
+    at = F.col("rank") - F.col("first")
+    rows = cut(rows.select("part", "opening", "conv_id", "rank", at.alias("at_opening"), ((F.col("n") % 2 == 1) & (at == F.col("n") - 1)).cast("int").alias("odd")))
+    left = rows.agg(F.coalesce(F.sum("odd"), F.lit(0))).first()[0]
+    rows = running(rows, F.col("odd"), *order)
+    met = F.lit((left + 1) // 2) + F.floor((F.col("rank") - F.col("before")) / 2)
+    pair = F.when(F.col("odd") == 1, F.floor(F.col("before") / 2)).otherwise(met)
+    return rows.select("conv_id", pair.alias("pair_id"), F.when(F.col("odd") == 1, F.col("before") % 2).otherwise(F.col("at_opening") % 2).alias("side"))
 
 
 def pair_up(turns: DataFrame) -> DataFrame:
-    """Pairs of neighbours in the order of the opening turns' digests and ids: conversations that open alike meet.
+    """Pairs of conversations that open alike, in the order of their ids; an odd one left over of each opening is paired
+    with the next such one in the order of the openings' digests.
 
     However many open alike, an order has no groups, so nothing is gathered for one opening. The order needs opening
     turns only; all turns are dealt twice, for their conversation's place and for their pair.
     """
     first = turns.groupBy("conv_id").agg(F.min("t").alias("t"))
     keys = first.select("conv_id", F.md5(F.concat(header(F.col("t")), F.col("t").text).cast("binary")).alias("opening"))
-    places = cut(ranked(keys, "opening", "conv_id").select(F.col("conv_id").alias("id"), F.floor(F.col("rank") / 2).alias("pair_id"), (F.col("rank") % 2).alias("side")))
+    places = cut(placed(keys).withColumnRenamed("conv_id", "id"))
     met = turns.join(places, F.col("conv_id").eqNullSafe(F.col("id")))
     of = lambda n, c: F.when(F.col("side") == n, F.col(c))
     pairs = met.groupBy("pair_id").agg(

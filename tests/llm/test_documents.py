@@ -105,3 +105,15 @@ def test_preferences_against_sql(spark):
     rel = con.sql(chat.OP1_SQL)
     df = entry.queries()["op1_chat_preferences"](spark, DATA)
     assert sorted(map(tuple, df.select(*rel.columns).collect())) == sorted(rel.fetchall())
+
+
+def test_all_that_open_alike_are_paired(spark):
+    """Groups of every size, one of them over many ranges: only one of an odd group is paired with a stranger."""
+    sizes = [1, 2, 3, 1, 2, 200, 5, 4, 1, 75]
+    rows = [(100 * 1000 * k + j, 0, "user", f"opening {k}") for k, n in enumerate(sizes) for j in range(n)]
+    opening = {i: text for i, _, _, text in rows}
+    df = spark.createDataFrame(rows, "conv_id long, turn int, role string, text string").repartition(4)
+    got = chat.preferences(chat.pair_up(chat.turns_of(df))).collect()
+    assert sorted(i for r in got for i in (r.chosen_id, r.rejected_id) if i is not None) == sorted(opening)
+    assert len({r.pair_id for r in got}) == len(got) and sum(r.rejected_id is None for r in got) == sum(sizes) % 2
+    assert sum(r.n_common == 1 for r in got) == sum(n // 2 for n in sizes)
