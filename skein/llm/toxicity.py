@@ -1,20 +1,23 @@
 """Toxicity scores from two class-conditional Kneser-Ney models of the letters of words.
 
-A word (Unicode white space cut, lower-cased) is spelt with a start and an end mark. For each class, the letter after a
-context of up to `order - 1` letters has the discounted class count of the two together, interpolated with one shared
-model: pooled continuation counts of ever shorter contexts, down to the uniform one. A class that has not met a context
-takes the shared model's word for it, so rare expressions weigh nothing unless one class has them.
-
-A text's evidence is the difference of its two log-likelihoods divided by its number of words, where a word's own
-difference is first drawn towards 0 by `dead_zone`: common words, whose likelihoods differ by chance or by the
-languages of the classes, then weigh nothing. The score maps the evidence to 0..1 through a logistic curve, fitted on
-the quarter of the labelled rows that the models have not seen. Models and curve are fitted on at most `max_rows`
-labelled rows of each class (those of the least hashed ids), whole texts; that bounds the model workers are sent.
-
-Null text counts as empty; a text without words has evidence 0. Labels other than 0 and 1 and null labels teach
-nothing; of several labels of one id the largest counts; without labelled rows of both classes every score is the
-share of toxic rows (0.5 without any). Repeated rows and null ids keep a row each; an empty table gives none; other
-columns are not looked at.
+A word (Unicode white space cut, lower-cased) is spelt with start marks before it and an end mark behind it. A shared
+model of both classes' words is interpolated Kneser-Ney: counts of whole contexts of `order - 1` letters, continuation
+counts of the shorter ones, down to the uniform one. A class's probability of a letter after a context is its own
+discounted counts, with the shared model taking the discounted mass and that of `weight` further letters: rare
+expressions are smoothed through the shared counts, and weigh nothing unless one class has them far more than the other.
+
+A word's evidence is the difference of its log-likelihoods under the two models. A text's evidence is that difference
+over the `passage` words that speak most for the toxic class, divided by their number, so it does not depend on how
+many ordinary words surround them (the mean over all words parts the classes far worse; the README has figures). The
+score maps the evidence to 0..1 through a logistic curve, fitted on a quarter of the labelled rows with models of the
+other three; the models that are kept are of all rows. Models and curve are fitted on at most `max_rows` labelled rows of each class (those of the least hashed
+ids), whole texts; that bounds what the driver gathers and workers are sent.
+
+Null text counts as empty; a text without words has evidence 0; one of fewer words than `passage` is filled up with
+words of no evidence; a very long text is read whole, its words a batch at a time. Labels other than 0 and 1 and null
+labels teach nothing; of several labels of one id the largest counts; without labelled rows of both classes every score
+is the share of toxic rows (0.5 without any). Repeated rows and null ids keep a row each; an empty table gives none;
+other columns are not looked at, but the result's column takes the place of one of its name.
 """
 
 from __future__ import annotations
@@ -30,100 +33,148 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from skein.llm.common import cut, id_bucket, table, texts, with_results
-from skein.llm.encoder import Memo
 
-#: Marks of a word's start and end.
-START, END = "\x02", "\x03"
+#: Code points that mark a word's start and end.
+START, END = 2, 3
 
-#: Words whose evidence one worker holds; beyond it the memo starts anew.
-MEMO = 150_000
+#: Words whose evidence one worker holds, and the longest of them; beyond it the memo starts anew.
+MEMO, MEMO_LETTERS = 150_000, 40
+
+#: Letters that are looked up in one go.
+LETTERS = 1 << 20
 
 
 def words_of(text: str) -> list[str]:
     return text.lower().split()
 
 
-def top_grams(word: str, order: int) -> list[str]:
-    """Of each letter and the end mark: it with its whole context of up to order - 1 letters."""
-    s = START + word + END
-    return [s[max(0, i - order + 1) : i + 1] for i in range(1, len(s))]
-
-
-class ClassModels:
-    """Evidence of words: log P(word | toxic) - log P(word | ordinary)."""
-
-    def __init__(self, counts: dict[str, tuple[int, int]], discount: float = 0.75):
-        self.discount = discount
-        self.top = counts
-        self.context: dict[str, list[float]] = {}
-        seen: set[str] = set(counts)
-        for gram, (t, o) in counts.items():
-            c = self.context.setdefault(gram[:-1], [0, 0, 0, 0])
-            c[0] += t
-            c[1] += o
-            c[2] += t > 0
-            c[3] += o > 0
-        # Continuation counts: in how many distinct longer grams each gram is the end.
-        self.shared: Counter[str] = Counter()
-        level = seen
-        while level:
-            below = {g[1:] for g in level if len(g) > 1}
-            self.shared.update(g[1:] for g in level if len(g) > 1)
-            level = below
-        self.follow: dict[str, list[float]] = {}
-        for gram, n in self.shared.items():
-            if gram:
-                f = self.follow.setdefault(gram[:-1], [0, 0])
-                f[0] += n
-                f[1] += 1
-        self.alphabet = len({g[-1] for g in seen}) + 1
-
-    def backoff(self, gram: str) -> float:
-        """The shared model's probability of a gram's last letter after the others."""
-        context = gram[:-1]
-        f = self.follow.get(context)
-        lower = self.backoff(gram[1:]) if context else 1 / self.alphabet
-        if f is None:
-            return lower
-        return max(self.shared.get(gram, 0) - self.discount, 0) / f[0] + self.discount * f[1] / f[0] * lower
-
-    def tables(self) -> tuple[dict[str, float], dict[str, float]]:
-        """log p/q of each counted gram, and of any other letter after each counted context (there `lower` cancels)."""
-        d, grams, others = self.discount, {}, {}
-        for context, (n_t, n_o, kinds_t, kinds_o) in self.context.items():
-            p = d * kinds_t / n_t if n_t else 1.0
-            q = d * kinds_o / n_o if n_o else 1.0
-            others[context] = math.log(p / q)
-        for gram, (t, o) in self.top.items():
-            n_t, n_o, kinds_t, kinds_o = self.context[gram[:-1]]
-            lower = self.backoff(gram[1:]) if len(gram) > 1 else 1 / self.alphabet
-            p = (max(t - d, 0) + d * kinds_t * lower) / n_t if n_t else lower
-            q = (max(o - d, 0) + d * kinds_o * lower) / n_o if n_o else lower
-            grams[gram] = math.log(p / q)
-        return grams, others
+def spelt(words: list[str], order: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Symbols of the words, each after order - 1 start marks and before an end mark; the positions of the letters and
+    end marks among them, and the word each of these is of."""
+    lengths = np.fromiter(map(len, words), dtype=np.int64, count=len(words))
+    letters = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
+    ends = np.cumsum(lengths + order)
+    symbols = np.full(ends[-1] if len(words) else 0, START, dtype=np.uint32)
+    symbols[ends - 1] = END
+    word = np.repeat(np.arange(len(words)), lengths + 1)
+    at = np.arange(len(word)) + (word + 1) * (order - 1)
+    symbols[at[symbols[at] != END]] = letters
+    return symbols, at, word
+
+
+def keys_of(columns: list[np.ndarray]) -> np.ndarray:
+    """A 64-bit hash of each row of symbols, given by columns."""
+    h = np.zeros(len(columns[0]) if columns else 0, dtype=np.uint64)
+    for c in columns:
+        h = (h ^ c.astype(np.uint64)) * np.uint64(0x9E3779B97F4A7C15)
+        h = (h ^ (h >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
+        h ^= h >> np.uint64(32)
+    return h
+
+
+def keys(rows: np.ndarray) -> np.ndarray:
+    return keys_of(list(rows.T)) if rows.shape[1] else np.zeros(len(rows), dtype=np.uint64)
+
+
+def discounted(rows: np.ndarray, n: np.ndarray, lower: np.ndarray, discount: float) -> np.ndarray:
+    """Probability of each row's last symbol after the others, from counts `n` and the lower order's probabilities."""
+    _, context = np.unique(keys(rows[:, :-1]), return_inverse=True)
+    total, kinds = np.bincount(context, n), np.bincount(context)
+    return np.maximum(n - discount, 0) / total[context] + (discount * kinds / total)[context] * lower
+
+
+def shared_model(grams: np.ndarray, n: np.ndarray, discount: float) -> np.ndarray:
+    """Interpolated Kneser-Ney probability of each of the distinct `grams` (a row of symbols each, met n times)."""
+    order = grams.shape[1]
+    lower, known = None, None
+    uniform = 1 / (len(np.unique(grams[:, -1])) + 1)
+    for k in range(1, order + 1):
+        rows, counts = grams, n
+        if k < order:  # in how many distinct grams of one symbol more a gram is the end
+            longer = grams[:, order - k - 1 :]
+            longer = longer[np.unique(keys(longer), return_index=True)[1]]
+            _, first, counts = np.unique(keys(longer[:, 1:]), return_index=True, return_counts=True)
+            rows = longer[first, 1:]
+        below = np.full(len(rows), uniform) if k == 1 else lower[np.searchsorted(known, keys(rows[:, 1:]))]
+        lower = discounted(rows, counts, below, discount)
+        known = keys(rows)
+        order_of = np.argsort(known)
+        if k < order:
+            lower, known = lower[order_of], known[order_of]
+    return lower
+
+
+class Tables:
+    """log P(letter | context, toxic) - log P(letter | context, ordinary): of each gram that was counted, and of any
+    other letter after each context that was (there the shared model's probability cancels). Sorted by hash."""
+
+    def __init__(self, grams: np.ndarray, toxic: np.ndarray, ordinary: np.ndarray, *, discount: float, weight: float):
+        if not len(grams):
+            self.gram = self.context = np.zeros(0, dtype=np.uint64)
+            self.of_gram = self.of_other = np.zeros(0, dtype=np.float32)
+            return
+        shared = shared_model(grams, toxic + ordinary, discount)
+        context_keys, context = np.unique(keys(grams[:, :-1]), return_inverse=True)
+        logs, others = [], []
+        for n in (toxic, ordinary):
+            total = np.bincount(context, n)
+            kept = np.maximum(n - discount, 0)
+            spare = total - np.bincount(context, kept) + weight
+            logs.append(np.log((kept + spare[context] * shared) / (total + weight)[context]))
+            others.append(np.log(spare / (total + weight)))
+        gram_keys = keys(grams)
+        order = np.argsort(gram_keys)
+        self.gram, self.of_gram = gram_keys[order], (logs[0] - logs[1])[order].astype(np.float32)
+        self.context, self.of_other = context_keys, (others[0] - others[1]).astype(np.float32)
+
+    def words(self, words: list[str], order: int) -> np.ndarray:
+        """The evidence of each word."""
+        symbols, at, word = spelt(words, order)
+        columns = [symbols[at - k] for k in range(order - 1, -1, -1)]
+        of_gram, known = found(self.gram, self.of_gram, keys_of(columns))
+        of_other, _ = found(self.context, self.of_other, keys_of(columns[:-1]) if order > 1 else np.zeros(len(at), dtype=np.uint64))
+        return np.bincount(word, np.where(known, of_gram, of_other), minlength=len(words))
+
+
+def found(sorted_keys: np.ndarray, values: np.ndarray, query: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The values of the queried keys (0 of unknown ones), and which are known."""
+    if not len(sorted_keys):
+        return np.zeros(len(query)), np.zeros(len(query), dtype=bool)
+    i = np.minimum(np.searchsorted(sorted_keys, query), len(sorted_keys) - 1)
+    hit = sorted_keys[i] == query
+    return np.where(hit, values[i], 0.0), hit
 
 
 class Scorer:
-    """evidence(texts) -> evidence a word of each text."""
-
-    def __init__(self, grams: dict[str, float], others: dict[str, float], order: int, dead_zone: float, memo: int = MEMO):
-        self.grams, self.others, self.order, self.dead_zone, self.limit = grams, others, order, dead_zone, memo
-        self.memo = Memo(self.word)
-
-    def word(self, w: str) -> float:
-        e, grams, others = 0.0, self.grams.get, self.others.get
-        for g in top_grams(w, self.order):
-            x = grams(g)
-            e += others(g[:-1], 0.0) if x is None else x
-        return max(e - self.dead_zone, 0.0) + min(e + self.dead_zone, 0.0)
+    """evidence(texts) -> evidence of each text."""
+
+    def __init__(self, tables: Tables, order: int, passage: int, memo: int = MEMO):
+        self.tables, self.order, self.passage, self.limit = tables, order, passage, memo
+        self.memo: dict[str, float] = {}
+
+    def learn(self, words: list[str]) -> dict[str, float]:
+        out, some, size = {}, [], 0
+        for w in words:
+            some.append(w)
+            size += len(w) + 1
+            if size >= LETTERS:
+                out.update(zip(some, self.tables.words(some, self.order).tolist(), strict=True))
+                some, size = [], 0
+        if some:
+            out.update(zip(some, self.tables.words(some, self.order).tolist(), strict=True))
+        return out
 
     def evidence(self, batch: list[str]) -> np.ndarray:
         if len(self.memo) > self.limit:
             self.memo.clear()
-        get, out = self.memo.__getitem__, np.zeros(len(batch))
-        for i, text in enumerate(batch):
-            words = words_of(text)
-            out[i] = sum(map(get, words)) / max(1, len(words))
+        cut_up = [words_of(t) for t in batch]
+        new = self.learn(list(set().union(*cut_up) - self.memo.keys()))
+        self.memo.update((w, e) for w, e in new.items() if len(w) <= MEMO_LETTERS)
+        memo, out = self.memo, np.zeros(len(batch))
+        for i, words in enumerate(cut_up):
+            e = np.array([memo[w] if w in memo else new[w] for w in words])
+            top = e if len(e) <= self.passage else np.partition(e, len(e) - self.passage)[-self.passage :]
+            out[i] = np.sort(top).sum() / self.passage
         return out
 
 
@@ -145,16 +196,16 @@ def logistic(x: np.ndarray, y: np.ndarray, rounds: int = 50) -> tuple[float, flo
 class ToxicityModel:
     """A fitted scorer: bounded tables and the logistic curve, sent to workers by broadcast."""
 
-    def __init__(self, spark: SparkSession, grams: dict[str, float], others: dict[str, float], order: int, dead_zone: float, slope: float = 0.0, intercept: float = 0.0):
-        self.sent = spark.sparkContext.broadcast((grams, others))
-        self.order, self.dead_zone, self.slope, self.intercept = order, dead_zone, slope, intercept
+    def __init__(self, spark: SparkSession, tables: Tables, order: int, passage: int, slope: float = 0.0, intercept: float = 0.0):
+        self.sent = spark.sparkContext.broadcast(tables)  # bounded with the sample that was learnt from
+        self.order, self.passage, self.slope, self.intercept = order, passage, slope, intercept
 
     def evidence(self, df: DataFrame, *, text_col: str = "text", keep: list[str] | None = None, name: str = "evidence") -> DataFrame:
         """`keep` columns (all, if not given) and the evidence of every row."""
-        sent, order, dead_zone = self.sent, self.order, self.dead_zone
+        sent, order, passage = self.sent, self.order, self.passage
 
         def start():
-            scorer = Scorer(*sent.value, order, dead_zone)
+            scorer = Scorer(sent.value, order, passage)
             return lambda batch: [pa.array(scorer.evidence(["" if t is None else t for t in batch]), pa.float64())]
 
         return with_results(df, text_col, df.columns if keep is None else keep, T.StructType().add(name, "double"), start)
@@ -173,32 +224,51 @@ def labelled_sample(df: DataFrame, labels: DataFrame, id_col: str, text_col: str
     return rows.join(F.broadcast(chosen), "doc_id").groupBy("doc_id").agg(F.max("text").alias("text"), F.max("y").cast("int").alias("y"))
 
 
-def fit(df: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", order: int = 6, dead_zone: float = 3.0, max_rows: int = 6000, least: int = 2) -> ToxicityModel:
-    """Class models from the labelled rows of `labels` (id_col, label_col in 0, 1); grams met less than `least` times are left out."""
-    spark = df.sparkSession
-    sample = cut(labelled_sample(df, labels, id_col, text_col, label_col, max_rows).withColumn("held", F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(4)) == 0))
+#: What is counted of a gram: how often toxic and ordinary texts have it, of the rows for the models and of those for the curve.
+COUNTS = ["toxic", "ordinary", "held_toxic", "held_ordinary"]
+
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = (Counter(), Counter())
+def gram_counter(order: int):
+    """A mapInArrow function from (text, y, held) to the grams of `order` symbols and their COUNTS."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words: list[Counter[str]] = [Counter() for _ in COUNTS]
         for batch in batches:
-            for text, y in zip(texts(batch.column(0)), batch.column(1).to_pylist(), strict=True):
-                words[y].update(words_of(text))
-        grams = (Counter(), Counter())
-        for y in (0, 1):
-            for w, n in words[y].items():
-                for g in top_grams(w, order):
-                    grams[y][g] += n
-        keys = list(grams[0].keys() | grams[1].keys())
-        for at in range(0, len(keys), 50_000):
-            part = keys[at : at + 50_000]
-            yield pa.RecordBatch.from_arrays([pa.array(part), *(pa.array([g[k] for k in part], pa.int64()) for g in grams)], names=["gram", "o", "t"])
-
-    counted = sample.filter("not held").select("text", "y").mapInArrow(count, "gram string, o long, t long")
-    total = counted.groupBy("gram").agg(F.sum("t").alias("t"), F.sum("o").alias("o")).filter(F.col("t") + F.col("o") >= least)
-    rows = total.toArrow().to_pydict()  # bounded with the sample
-    models = ClassModels(dict(zip(rows["gram"], zip(rows["t"], rows["o"], strict=True), strict=True)))
-    model = ToxicityModel(spark, *models.tables(), order, dead_zone)
-    held = model.evidence(sample.filter("held"), keep=["y"]).toArrow()
+            for text, y, held in zip(texts(batch.column(0)), *(c.to_pylist() for c in batch.columns[1:]), strict=True):
+                words[2 * held + 1 - y].update(words_of(text))
+        every = list(set().union(*words))
+        if not every:
+            return
+        symbols, at, word = spelt(every, order)
+        columns = [symbols[at - k] for k in range(order - 1, -1, -1)]
+        _, first, gram = np.unique(keys_of(columns), return_index=True, return_inverse=True)
+        rows = np.column_stack([c[first] for c in columns]).astype("<u4")
+        counts = [np.bincount(gram, np.array([c[w] for w in every])[word]).astype(np.int64) for c in words]
+        for i in range(0, len(rows), 50_000):
+            part = rows[i : i + 50_000]
+            offsets = pa.py_buffer(np.arange(0, (len(part) + 1) * 4 * order, 4 * order, dtype=np.int32))
+            grams = pa.BinaryArray.from_buffers(pa.binary(), len(part), [None, offsets, pa.py_buffer(part.tobytes())])
+            yield pa.RecordBatch.from_arrays([grams, *(pa.array(c[i : i + 50_000]) for c in counts)], names=["gram", *COUNTS])
+
+    return run
+
+
+def fit(df: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", order: int = 8, discount: float = 0.75, weight: float = 100.0, passage: int = 3, max_rows: int = 6000) -> ToxicityModel:
+    """Class models from the labelled rows of `labels` (id_col, label_col in 0, 1).
+
+    The curve is fitted on a quarter of the rows, scored by models of the others; the models that are kept are of all.
+    """
+    spark = df.sparkSession
+    sample = cut(labelled_sample(df, labels, id_col, text_col, label_col, max_rows).withColumn("held", (F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(4)) == 0).cast("int")))
+    counted = sample.select("text", "y", "held").mapInArrow(gram_counter(order), ", ".join(["gram binary", *(f"{c} long" for c in COUNTS)]))
+    found = counted.groupBy("gram").agg(*[F.sum(c).alias(c) for c in COUNTS]).orderBy("gram").toArrow()  # bounded with the sample
+    grams = np.frombuffer(b"".join(found.column("gram").to_pylist()), dtype="<u4").reshape(-1, order)
+    toxic, ordinary, held_toxic, held_ordinary = (found.column(c).to_numpy().astype(float) for c in COUNTS)
+    seen = toxic + ordinary > 0
+    before = ToxicityModel(spark, Tables(grams[seen], toxic[seen], ordinary[seen], discount=discount, weight=weight), order, passage)
+    held = before.evidence(sample.filter("held = 1"), keep=["y"]).toArrow()
+    before.sent.unpersist()
+    model = ToxicityModel(spark, Tables(grams, toxic + held_toxic, ordinary + held_ordinary, discount=discount, weight=weight), order, passage)
     y, x = held.column(0).to_numpy(), held.column(1).to_numpy()
     if len(set(y.tolist())) == 2:
         model.slope, model.intercept = logistic(x, y.astype(float))

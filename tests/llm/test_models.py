@@ -15,30 +15,94 @@ def held(i, n=5):
     return zlib.crc32(str(i).encode()) % n
 
 
-def test_toxicity_on_held_out_rows(spark):
-    got = {r.doc_id: r for r in toxicity.op3_toxicity(spark, "/root/testdata/sf0.01").collect()}
-    labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet").collect()
+def held_out_scores(spark, folder):
+    """(score, label) of the labelled rows that op3 has not learnt from."""
+    got = {r.doc_id: r for r in toxicity.op3_toxicity(spark, folder).collect()}
     assert all(r.held_out == (held(i) == 0) and 0 <= r.score <= 1 and r.predicted == (r.score >= 0.5) for i, r in got.items())
-    pairs = [(got[r.doc_id].score, r.toxic) for r in labels if got[r.doc_id].held_out]
+    return [(got[r.doc_id].score, r.toxic) for r in spark.read.parquet(f"{folder}/labels.parquet").collect() if got[r.doc_id].held_out]
+
+
+def area(pairs):
     wins = [(a > b) + (a == b) / 2 for a, y in pairs if y == 1 for b, z in pairs if z == 0]
-    assert sum(wins) / len(wins) > 0.9
-    assert sum((s >= 0.5) == y for s, y in pairs) / len(pairs) > 0.9
-
-
-def test_word_probabilities_are_a_distribution():
-    """Of each class: the probabilities of all letters after a context add up to one."""
-    counts = Counter()
-    for w, t, o in (("idiot", 5, 0), ("ideal", 0, 7), ("the", 40, 50), ("idle", 1, 3)):
-        for g in toxicity.top_grams(w, 4):
-            a, b = counts.get(g, (0, 0))
-            counts[g] = (a + t, b + o)
-    models = toxicity.ClassModels(dict(counts))
-    letters = {g[-1] for g in counts}
-    for context in ("\x02", "\x02id", "dio", "the"):
-        if context in models.context:
-            n, _, kinds, _ = models.context[context]
-            p = sum((max(counts.get(context + c, (0, 0))[0] - 0.75, 0) + 0.75 * kinds * models.backoff((context + c)[1:])) / n for c in letters if n)
-            assert n == 0 or 0.9 < p <= 1 + 1e-9
+    return sum(wins) / len(wins)
+
+
+def test_toxicity_on_held_out_rows(spark):
+    """Of the labelled toxic rows of sf0.1 some 5 % hold nothing that others of them do; an answer of always 0 catches none."""
+    pairs = held_out_scores(spark, "/root/testdata/sf0.1")
+    toxic, ordinary = [s for s, y in pairs if y], [s for s, y in pairs if not y]
+    assert area(pairs) > 0.95
+    assert sum(s >= 0.5 for s in toxic) > 0.88 * len(toxic)
+    assert sum(s >= 0.5 for s in ordinary) < 0.015 * len(ordinary)
+
+
+def test_toxicity_of_few_labels(spark):
+    assert area(held_out_scores(spark, "/root/testdata/sf0.01")) > 0.85
+
+
+def plain_toxicity(words, order, discount, weight):
+    """The class models with dictionaries: log P(letter | context, toxic) - log P(letter | context, ordinary).
+
+    `words`: a count of words for each class (ordinary, toxic).
+    """
+    spell = lambda w: [2] * (order - 1) + list(map(ord, w)) + [3]
+    grams = [Counter(), Counter()]
+    for y in (0, 1):
+        for w, n in words[y].items():
+            s = spell(w)
+            for i in range(order - 1, len(s)):
+                grams[y][tuple(s[i - order + 1 : i + 1])] += n
+    both = grams[0] + grams[1]
+    levels = {order: both}
+    for k in range(order - 1, 0, -1):
+        levels[k] = Counter(g[1:] for g in levels[k + 1])
+    uniform = 1 / (len({g[-1] for g in both}) + 1)
+
+    def shared(g):
+        k = len(g)
+        if not k:
+            return uniform
+        own = {h: n for h, n in levels[k].items() if h[:-1] == g[:-1]}
+        if not own:
+            return shared(g[1:])
+        total = sum(own.values())
+        return max(levels[k][g] - discount, 0) / total + discount * len(own) / total * shared(g[1:])
+
+    def log_p(g, y):
+        own = {h: n for h, n in grams[y].items() if h[:-1] == g[:-1]}
+        total, kept = sum(own.values()), sum(max(n - discount, 0) for n in own.values())
+        p = (max(grams[y][g] - discount, 0) + (total - kept + weight) * shared(g)) / (total + weight)
+        return math.log(p)
+
+    def evidence(w):
+        s = spell(w)
+        at = [tuple(s[i - order + 1 : i + 1]) for i in range(order - 1, len(s))]
+        known = {g[:-1] for g in both}
+        return sum(log_p(g, 1) - log_p(g, 0) for g in at if g[:-1] in known)
+
+    letters = {g[-1] for g in both}
+    sums = {g[:-1]: sum(math.exp(log_p((*g[:-1], c), y)) for c in letters) for g in both for y in (0, 1)}
+    return evidence, sums
+
+
+@pytest.mark.parametrize("order,discount,weight", [(4, 0.75, 5.0), (2, 0.5, 100.0), (6, 0.9, 0.5)])
+def test_class_models_equal_a_dictionary_model(order, discount, weight):
+    ordinary = Counter({"ideal": 7, "the": 50, "idle": 3, "Ünï": 2, "dale": 1})
+    toxic = Counter({"idiot": 5, "the": 40, "idle": 1, "dote": 1})
+    evidence, sums = plain_toxicity((ordinary, toxic), order, discount, weight)
+    assert all(0.5 < p <= 1 + 1e-9 for p in sums.values())  # what is left is for letters never met
+    every = list(ordinary.keys() | toxic.keys())
+    symbols, at, word = toxicity.spelt(every, order)
+    rows = np.column_stack([symbols[at - k] for k in range(order - 1, -1, -1)])
+    grams, where = np.unique(rows, axis=0, return_inverse=True)
+    n = [np.bincount(where.ravel(), np.array([c[w] for w in every])[word]).astype(float) for c in (toxic, ordinary)]
+    tables = toxicity.Tables(grams, *n, discount=discount, weight=weight)
+    new = [*every, "idiots", "theidiot", "x", "zzz", "d"]
+    assert np.allclose(tables.words(new, order), [evidence(w) for w in new], atol=1e-5)
+    scorer = toxicity.Scorer(tables, order, 3, memo=2)
+    texts = ["the idiot the idle idiot ideal", "", "idiot", " ".join(new) * 3000]
+    for t, e in zip(texts, scorer.evidence(texts), strict=True):
+        assert e == pytest.approx(sum(sorted(map(evidence, t.lower().split()), reverse=True)[:3]) / 3, abs=1e-4)
 
 
 def test_toxicity_of_odd_rows(spark, odd, empty):
