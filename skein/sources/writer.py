@@ -2,6 +2,13 @@
 
 from __future__ import annotations
 
+import os
+import uuid
+from collections.abc import Iterator
+from urllib.parse import unquote, urlparse
+
+import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -32,3 +39,40 @@ def write_log(df: DataFrame, folder: str, header: LogHeader, *, compression: str
     first = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)) == 0
     head = F.lit(header_text(header).replace("\n", f"{line_end}\n") + f"{line_end}\n")
     df.select(F.when(first, F.concat(head, line)).otherwise(line).alias("value")).write.option("compression", compression).mode("overwrite").text(folder)
+
+
+def put(folder: str, name: str, data: bytes) -> None:
+    """A file of a folder (a path or URL), written under a private name and renamed, so a retried task leaves the same file."""
+    url, part = urlparse(folder), f".{name}.{uuid.uuid4().hex}"
+    if url.scheme in ("", "file"):
+        base = unquote(url.path)
+        os.makedirs(base, exist_ok=True)
+        with open(f"{base}/{part}", "wb") as f:
+            f.write(data)
+        os.replace(f"{base}/{part}", f"{base}/{name}")
+        return
+    from pyarrow import fs
+
+    store, base = fs.FileSystem.from_uri(folder)
+    store.create_dir(base, recursive=True)
+    with store.open_output_stream(f"{base}/{part}") as f:
+        f.write(data)
+    store.move(f"{base}/{part}", f"{base}/{name}")
+
+
+def write_zstd(df: DataFrame, folder: str, header: LogHeader) -> None:
+    """As write_log, a file for each partition that has rows; Spark's own text writer has no zstd here."""
+    head = f"{header_text(header)}\n".encode()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        n, sink = 0, pa.BufferOutputStream()
+        with pa.CompressedOutputStream(sink, "zstd") as f:
+            f.write(head)
+            for batch in batches:
+                n += batch.num_rows
+                f.write("".join(f"{line}\n" for line in batch.column(0).to_pylist()).encode())
+        if n:
+            put(folder, f"part-{TaskContext.get().partitionId():05d}.log.zst", sink.getvalue().to_pybytes())
+        yield pa.RecordBatch.from_arrays([pa.array([n], pa.int64())], names=["n"])
+
+    df.select(F.concat_ws(header.separator, *df.columns)).mapInArrow(run, "n long").agg(F.sum("n")).collect()

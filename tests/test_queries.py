@@ -1,10 +1,12 @@
+import re
+from pathlib import Path
+
 import duckdb
 import pytest
 
 import __spark_entry__ as entry
 from skein.operators import queries
 from skein.operators.queries import REGISTRY
-from skein.plans.reader import read_log
 from tests.conftest import DATA
 
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
@@ -37,9 +39,9 @@ def test_entry(spark):
     assert set(entry.oracle_sql()) <= set(entry.queries())
 
 
-def test_zstd_holds_every_event(spark, monkeypatch):
-    """The whole table goes through the zstd files, whatever part of it the SQL asks for."""
-    seen = []
-    monkeypatch.setattr(queries, "read_log", lambda *a, **b: seen.append(read_log(*a, **b)) or seen[-1])
-    REGISTRY["zstd_read"][0](spark, DATA)
-    assert seen[0].count() == spark.read.parquet(f"{DATA}/events.parquet").count()
+def test_nothing_but_the_entry_imports_llm():
+    """The subpackage can be taken away."""
+    root = Path(queries.__file__).resolve().parents[1]
+    for path in root.rglob("*.py"):
+        if "llm" not in path.relative_to(root).parts:
+            assert not re.search(r"\bllm\b", path.read_text()), path
