@@ -56,14 +56,23 @@ def hamming(a: Column, b: Column) -> Column:
     return F.bit_count(a.bitwiseXOR(b))
 
 
-def multiset_jaccard(a: Column, b: Column) -> Column:
-    """Sum of the lesser over sum of the greater multiplicities; 0 of two empty arrays."""
+def numbered(hashes: Column) -> Column:
+    """An array as a set of as many elements: the second and further ones of equal hashes are hashed with their number."""
+
+    def of(a: Column) -> Column:
+        number = lambda x, i: i + 2 - F.array_position(a, x)
+        return F.transform(a, lambda x, i: F.when(number(x, i) == 1, x).otherwise(F.xxhash64(x, number(x, i))))
+
+    return bound(F.sort_array(hashes), lambda a: F.when(F.size(F.array_distinct(a)) == F.size(a), a).otherwise(of(a)))
+
+
+def shared_share(a: Column, b: Column) -> Column:
+    """Jaccard similarity of two arrays of distinct elements; 0 of two empty ones. Of numbered() arrays: that of the multisets."""
 
     def of(p: Column) -> Column:
-        x, y = p.x, p.y
-        times = lambda z, v: F.size(F.filter(z, lambda w: w == v))
-        both = F.aggregate(F.transform(F.array_distinct(y), lambda v: F.least(times(x, v), times(y, v))), F.lit(0), lambda n, m: n + m)
-        return bound(both, lambda n: F.when(F.size(x) + F.size(y) > 0, n / (F.size(x) + F.size(y) - n)).otherwise(F.lit(0.0)))
+        both = F.size(F.array_intersect(p.x, p.y))
+        every = F.size(p.x) + F.size(p.y)
+        return bound(both, lambda n: F.when(every > 0, n / (every - n)).otherwise(F.lit(0.0)))
 
     return bound(F.struct(a.alias("x"), b.alias("y")), of)
 
