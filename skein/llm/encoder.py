@@ -1,9 +1,10 @@
-"""Byte-level BPE ids of whole texts through the tokenizers library, with a bounded memo of space-led chunks.
+"""Byte-level BPE ids of whole texts, as the tokenizers library gives them, with a bounded memo of space-led chunks.
 
 The vocabulary's pre-tokenizer never joins a non-space character with the white space after it, so a text may be cut
 before every such space and its chunks encoded on their own. Splitting at single spaces gives such chunks unless a
-chunk is empty or ends in white space; texts with such chunks are encoded whole. Chunks of plain Latin text go
-straight to the library's BPE model, pre-tokenised here; all others go through the library's full pipeline.
+chunk is empty or ends in white space; texts with such chunks are encoded whole, by the library. Chunks of plain Latin
+text, for which all regular expression engines agree, are merged by tiktoken with the file's own vocabulary, whose ids
+are its ranks; all others (other scripts, special tokens' strings, very long ones) go through the library.
 """
 
 from __future__ import annotations
@@ -15,10 +16,12 @@ import struct
 from collections.abc import Callable
 
 import numpy as np
-import regex
 
-#: Chunks held in memory by one worker; beyond it the memo starts anew.
-MEMO = 500_000
+#: Chunks held in memory by one worker, and the longest that is held; beyond it the memo starts anew.
+MEMO, MEMO_LETTERS = 500_000, 48
+
+#: Chunks of more characters are left to the library, whose time stays near linear.
+LONG = 1000
 
 #: Fixed value: the vocabulary's pre-tokenisation pattern.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -35,14 +38,16 @@ def byte_alphabet() -> list[str]:
 
 
 class Memo(dict):
-    """A dict that makes and keeps the value of a key not met before."""
+    """A dict that makes the value of a key not met before, and keeps it unless the key is long."""
 
-    def __init__(self, make: Callable[[str], bytes | None]):
+    def __init__(self, make: Callable, longest: int = MEMO_LETTERS):
         super().__init__()
-        self.make = make
+        self.make, self.longest = make, longest
 
-    def __missing__(self, key: str) -> bytes | None:
-        self[key] = value = self.make(key)
+    def __missing__(self, key):
+        value = self.make(key)
+        if len(key) <= self.longest:
+            self[key] = value
         return value
 
 
@@ -51,42 +56,31 @@ class ChunkEncoder:
 
     def __init__(self, path: str, memo: int = MEMO):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        import tiktoken
         from tokenizers import Tokenizer
-        from tokenizers.models import BPE
 
         self.tokenizer = Tokenizer.from_file(path)
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
-        merges = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in spec["model"]["merges"]]
-        self.model = BPE(vocab=spec["model"]["vocab"], merges=merges, cache_capacity=0)
         self.special = [t["content"] for t in spec["added_tokens"]]
+        byte_of = {c: b for b, c in enumerate(byte_alphabet())}
+        ranks = {bytes(byte_of[c] for c in t): i for t, i in spec["model"]["vocab"].items() if t not in self.special}
+        self.merger = tiktoken.Encoding("file", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
+        self.piece = self.merger._core_bpe.encode_single_piece
         self.memo_limit = memo
         self.memo = Memo(self._bytes)
-        self.pattern = regex.compile(PATTERN)
-        self.stand_in = dict(enumerate(byte_alphabet()))
-        self.space = self.stand_in[32]
-
-    def _ids(self, pretoken: str) -> list[int]:
-        return [t.id for t in self.model.tokenize(pretoken)]
-
-    def _mapped(self, pretoken: str) -> str:
-        return pretoken.encode().decode("latin-1").translate(self.stand_in)
 
     def _chunk(self, c: str) -> list[int]:
         """Ids of " " + c."""
-        if max(c) > "\u024f":
+        if max(c) > "ɏ" or len(c) > LONG:
             return self.tokenizer.encode(" " + c, add_special_tokens=False).ids
         if c.isalpha():
-            return self._ids(self.space + (c if c.isascii() else self._mapped(c)))
-        last = c[-1]
-        if last in ".,;:!?" and c[:-1].isalpha():
-            return self._ids(self.space + (c[:-1] if c.isascii() else self._mapped(c[:-1]))) + self._ids(last)
+            return self.piece((" " + c).encode())
+        if c[-1] in ".,;:!?" and c[:-1].isalpha():
+            return self.piece((" " + c[:-1]).encode()) + self.piece(c[-1].encode())
         if any(s in c for s in self.special):
             return self.tokenizer.encode(" " + c, add_special_tokens=False).ids
-        out: list[int] = []
-        for p in self.pattern.findall(" " + c):
-            out += self._ids(self._mapped(p))
-        return out
+        return self.merger.encode_ordinary(" " + c)
 
     def _bytes(self, c: str) -> bytes | None:
         if c == "" or c[-1].isspace():
@@ -98,10 +92,10 @@ class ChunkEncoder:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        if len(self.memo) > self.memo_limit:
-            self.memo.clear()
         get, out = self.memo.__getitem__, []
         for text in texts:
+            if len(self.memo) > self.memo_limit:
+                self.memo.clear()
             p = text.split(" ")
             head = p[0]
             if len(p) == 1 or (head and head[-1].isspace()):

@@ -36,6 +36,8 @@ def test_long_pretokens_and_small_memos():
     r = random.Random(5)
     long = ["a" * 50000, "".join(r.choice("abcdefghij") for _ in range(20000)), "-" * 9999]
     assert COUNTER.count(long) == [len(ids(t)) for t in long]
+    assert ENCODER.encode([f"x {t} y" for t in long]) == [np.array(ids(f"x {t} y"), dtype="<u4").tobytes() for t in long]
+    assert max(map(len, ENCODER.memo)) <= 48
     small = token_counts.TokenCounter(PATH, memo=2)
     texts = ["one two three", "three four", "one five"] * 3
     assert [small.count([t])[0] for t in texts] == [len(ids(t)) for t in texts]
@@ -85,8 +87,14 @@ def check_pieces(rows, want, capacity=1024):
 
 def test_packing_round_trip(spark, documents):
     want = {r.doc_id: [r.text] for r in documents.collect()}
-    used, room = check_pieces(packing.op2_packing(spark, DATA).collect(), want)
+    rows = packing.op2_packing(spark, DATA).collect()
+    used, room = check_pieces(rows, want)
     assert used > 0.98 * room
+    short = {}
+    for r in rows:
+        if r.doc_tokens <= 1024:
+            short.setdefault(r.doc_id, set()).add(r.sequence_id)
+    assert sum(map(len, short.values())) <= 1.5 * len(short)
 
 
 def test_packing_of_odd_rows(odd, empty):
@@ -97,12 +105,43 @@ def test_packing_of_odd_rows(odd, empty):
     assert packing.packed(empty).count() == 0
 
 
-@settings(max_examples=60, deadline=None)
-@given(st.lists(st.integers(1, 64), min_size=1, max_size=60))
-def test_windows_hold_their_parts(sizes):
-    groups = packing.pack_parts(np.array(sizes), 64)
-    assert sorted(i for g in groups for i in g) == list(range(len(sizes)))
-    assert all(sum(sizes[i] for i in g) <= 64 for g in groups)
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.integers(1, 64), min_size=1, max_size=60), st.sampled_from([0.0, 0.05, 10.0]))
+def test_windows_hold_their_parts(sizes, padding):
+    """Every token of every part is in one window, none is over full, and few parts are cut."""
+    windows = packing.pack_parts(np.array(sizes), 64, padding)
+    pieces = sorted(p for w in windows for p in w)
+    assert [p for p in pieces if p[2] <= 0] == [] and all(sum(p[2] for p in w) <= 64 for w in windows)
+    for i, size in enumerate(sizes):
+        at = 0
+        for _, start, length in (p for p in pieces if p[0] == i):
+            assert start == at
+            at += length
+        assert at == size
+    least = -(-sum(sizes) // 64)
+    assert least <= len(windows) <= max(least, -(-sum(sizes) * (1 + padding) // 64))
+    if padding == 10.0:
+        assert len(pieces) == len(sizes)
+
+
+def plain_differencing(sizes, k):
+    """Largest differencing with whole arrays of k loads: the least spread that is left."""
+    parts = [[0] * (k - 1) + [s] for s in sizes]
+    while len(parts) > 1:
+        parts.sort(key=lambda p: p[0] - p[-1])
+        a, b = parts.pop(0), parts.pop(0)
+        loads = sorted(x + y for x, y in zip(a, reversed(b), strict=True))
+        parts.append([x - loads[0] for x in loads])
+    return parts[0][-1]
+
+
+@pytest.mark.parametrize("k", [2, 3, 7, 20])
+def test_differencing_equals_a_plain_version(k):
+    r = random.Random(k)
+    sizes = r.sample(range(1, 10**9), 50)  # distinct, so that no tie decides
+    groups = packing.differencing(np.array(sizes), k)
+    sums = [sum(sizes[i] for i in g) for g in groups]
+    assert max(sums) - min(sums) == plain_differencing(sizes, k)
 
 
 def test_differencing_is_near_equal():
