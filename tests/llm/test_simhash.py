@@ -1,12 +1,14 @@
 import random
 from collections import Counter
+from pathlib import Path
 
 import numpy as np
 import pytest
 import xxhash
 
 from skein.llm import decontamination, simhash_dedup
-from skein.llm.components import components
+from skein.llm.common import shared_dir
+from skein.llm.components import Rounds, components
 from tests.conftest import DATA
 from tests.llm.conftest import ODD
 
@@ -77,12 +79,47 @@ def test_links_of_crowded_fingerprints(spark, monkeypatch):
         assert labels[e.a] == labels[e.b]
 
 
-def test_components_of_a_long_chain(spark):
-    n = 14
-    order = list(range(n))
+def plain_labels(edges):
+    root = {}
+
+    def find(x):
+        while root.setdefault(x, x) != x:
+            x = root[x]
+        return x
+
+    for a, b in edges:
+        root[find(a)] = find(b)
+    return {x: find(x) for x in list(root)}
+
+
+def same_partition(got, want):
+    assert got.keys() == want.keys()
+    pairs = {(got[x], want[x]) for x in got}
+    assert len(pairs) == len({a for a, _ in pairs}) == len({b for _, b in pairs})
+
+
+def test_components_of_a_long_chain(spark, monkeypatch):
+    """Ten thousand nodes in a row take some log n rounds, two writes a round and one more on the way back."""
+    order = list(range(10_000))
     random.Random(1).shuffle(order)
-    edges = spark.createDataFrame([(min(a, b), max(a, b)) for a, b in zip(order, order[1:], strict=False)] + [(1000, 1001)], "a long, b long")
-    assert Counter(r.label for r in components(edges).collect()) == {0: n, 1000: 2}
+    pairs = [(min(a, b), max(a, b)) for a, b in zip(order, order[1:], strict=False)] + [(100_000, 100_001)]
+    writes = []
+    monkeypatch.setattr(Rounds, "write", lambda self, df, f=Rounds.write: writes.append(1) or f(self, df))
+    found = components(spark.createDataFrame(pairs, "a long, b long")).collect()
+    same_partition({r.node: r.label for r in found}, plain_labels(pairs))
+    assert len(writes) <= 3 * 20
+    assert not [p for p in Path(shared_dir(spark).removeprefix("file://")).glob("components-*") if p.exists()]
+
+
+def test_components_of_random_graphs(spark):
+    r = random.Random(5)
+    pairs = [(r.randrange(300), r.randrange(300)) for _ in range(170)] + [(7, 1000 + i) for i in range(200)] + [(2000, 2000)]
+    found = components(spark.createDataFrame(pairs, "a long, b long").repartition(3)).collect()
+    got = {n.node: n.label for n in found}
+    want = plain_labels(pairs)
+    same_partition({k: v for k, v in got.items() if k != 2000}, {k: v for k, v in want.items() if k != 2000})
+    assert all(got[v] == v for v in got.values())
+    assert components(spark.createDataFrame([], "a long, b long")).collect() == []
 
 
 def words(n, seed):
