@@ -1,4 +1,5 @@
 import math
+import random
 import zlib
 from collections import Counter
 
@@ -138,11 +139,54 @@ def test_collapsed_scores_are_the_kernel_machines():
 
 
 def test_language_of_odd_rows(odd, empty):
-    found = language_id.fit(odd).predict(odd, keep=["doc_id"], names=("l", "s")).collect()
+    found = language_id.fit(odd).predict(odd, keep=["doc_id"], names=("l", "s", "b")).collect()
     assert len(found) == len(ODD) and {r.l for r in found} == {"en", "und"}
-    assert all(r.l == "und" and r.s == 0 for r in found if r.doc_id in (3, 4, 5, 10))
-    assert {r.l for r in language_id.fit(empty).predict(odd, names=("l", "s")).collect()} == {"und"}
-    assert language_id.fit(odd).predict(empty, names=("l", "s")).count() == 0
+    assert all(r.l == "und" and r.s == 0 and not r.b for r in found if r.doc_id in (3, 4, 5, 10))
+    assert {r.l for r in language_id.fit(empty).predict(odd, names=("l", "s", "b")).collect()} == {"und"}
+    assert language_id.fit(odd).predict(empty, names=("l", "s", "b")).count() == 0
+
+
+def plain_grams(text, longest=4):
+    t = "".join(" " if ord(c) < 97 or 122 < ord(c) < 128 else c for c in text.lower())
+    return {t[i : i + n] for n in range(1, longest + 1) for i in range(len(t) - n + 1)}
+
+
+def test_query_equals_a_plain_kernel_machine(spark, documents):
+    """The whole query against sets of n-grams as they are: kernels, landmarks and ridge regression without hashing."""
+    rows = [r for r in documents.collect() if r.text and r.lang]
+    fit_rows = [r for r in rows if held(r.doc_id) != 0]
+    grams = {r.doc_id: plain_grams(r.text) for r in rows}
+    languages = sorted({r.lang for r in fit_rows})
+    kernel = lambda a, b: len(a & b) / math.sqrt(len(a) * len(b))
+    marks = [r for lang in languages for r in [x for x in fit_rows if x.lang == lang][:20]]
+    own = np.array([[kernel(grams[a.doc_id], grams[b.doc_id]) for b in marks] for a in marks])
+    values, vectors = np.linalg.eigh(own)
+    root = vectors[:, values > 1e-6] / np.sqrt(values[values > 1e-6])
+    features = lambda rs: np.array([[kernel(grams[a.doc_id], grams[b.doc_id]) for b in marks] for a in rs]) @ root
+    x, y = features(fit_rows), np.array([[1.0 if r.lang == lang else -1.0 for lang in languages] for r in fit_rows])
+    w = np.linalg.solve(x.T @ x + 1e-4 * len(x) * np.eye(x.shape[1]), x.T @ y)
+    want = {r.doc_id: languages[k] for r, k in zip(rows, (features(rows) @ w).argmax(axis=1), strict=True)}
+    got = {r.doc_id: r.lang_pred for r in language_id.op7_language_id(spark, DATA).collect()}
+    assert sum(got[i] == want[i] for i in want) >= 0.98 * len(want)
+
+
+def test_samples_of_any_count():
+    """A share of a huge count is not rounded away; the limits hold that share of all 64-bit hashes."""
+    for n in (1, 600, 601, 10**6, 7 * 10**8, 10**10, 10**15):
+        share = (language_id.hash_limit(600 / n) + 2**63) / 2**64
+        assert share == pytest.approx(min(1.0, 600 / n), rel=1e-6, abs=1e-18)
+
+
+def test_what_belongs_to_no_language(spark, documents):
+    """Scripts and jumbles that no language has are told from the texts of those learnt, which are kept."""
+    r = random.Random(3)
+    jumble = ["".join(r.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(n)) for n in (60, 300, 2000)]
+    jumble += [" ".join("".join(r.choice("bcdfghjklmnpqrstvwxz") for _ in range(r.randint(2, 9))) for _ in range(n)) for n in (15, 100, 900)]
+    strange = [*jumble, "это предложение на русском языке которое ни один из языков не знает", "这是一个中文句子用于测试语言识别的效果", "これは日本語の文章です。拒否されるべきです。", "αυτό είναι ένα κείμενο στα ελληνικά"]
+    model = language_id.fit(documents)
+    found = model.predict(spark.createDataFrame([(t,) for t in strange], "text string")).collect()
+    assert [x.text[:20] for x in found if x.belongs] == []
+    assert model.predict(documents).filter("NOT belongs").count() == 0
 
 
 def tokens(text):
