@@ -27,11 +27,15 @@ def id_bucket(doc_id: Column | str, modulus: int) -> Column:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share: spark.checkpoint.dir, or a temporary one where the session has none (tests)."""
+    """The folder all executors share: spark.checkpoint.dir, or a temporary one where a local session has none (tests)."""
     path = spark.conf.get("spark.checkpoint.dir", None)
     current = spark.sparkContext._jsc.sc().getCheckpointDir()
+    if not path and current.isDefined():
+        path = current.get()
     if not path:
-        path = current.get() if current.isDefined() else f"file://{tempfile.mkdtemp(prefix='skein-shared-')}"
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        path = f"file://{tempfile.mkdtemp(prefix='skein-shared-')}"
     if not current.isDefined():
         spark.sparkContext.setCheckpointDir(path)
     return path
@@ -43,6 +47,23 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def delete(spark: SparkSession, path: str) -> None:
+    """A file or folder of any store that Spark reaches, taken away."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
+def unused(df: DataFrame, *names: str) -> list[str]:
+    """The names, with as many underscores before them as make them no column's of `df` in any case."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name = f"_{name}"
+        out.append(name)
+    return out
+
+
 def partitions_for(spark: SparkSession, n_bytes: int, per_partition: int = 32 << 20, least: int = 12) -> int:
     """A partition count that follows the input's size, so no partition grows with the corpus."""
     return max(least, -(-int(n_bytes or 0) // per_partition))
@@ -71,15 +92,16 @@ def with_results(df: DataFrame, text_col: str, keep: list[str], fields: T.Struct
     column of its name.
     """
     keep = [c for c in keep if c not in fields.names]
+    rows = df.select(F.col(f"`{text_col}`").cast("string").alias("t"), *[F.col(f"`{c}`").alias(f"k{i}") for i, c in enumerate(keep)])
+    made = T.StructType([T.StructField(f"r{i}", f.dataType) for i, f in enumerate(fields.fields)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         of = start()
         for chunk in chunks(batches, 0):
             arrays = [*chunk.columns[1:], *of(chunk.column(0).to_pylist())]
-            yield pa.RecordBatch.from_arrays(arrays, names=[*chunk.schema.names[1:], *fields.names])
+            yield pa.RecordBatch.from_arrays(arrays, names=[*chunk.schema.names[1:], *made.names])
 
-    rows = df.select(F.col(text_col).cast("string").alias("__text"), *keep)
-    return rows.mapInArrow(run, T.StructType([*rows.schema.fields[1:], *fields.fields]))
+    return rows.mapInArrow(run, T.StructType([*rows.schema.fields[1:], *made.fields])).toDF(*keep, *fields.names)
 
 
 class SharedFiles:

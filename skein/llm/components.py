@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from skein.llm.common import cut, shared_dir
+from skein.llm.common import cut, delete, shared_dir
 
 
 class Rounds:
@@ -24,8 +24,7 @@ class Rounds:
         return path, self.spark.read.schema(df.schema).parquet(path)
 
     def delete(self, path: str | None = None) -> None:
-        at = self.spark._jvm.org.apache.hadoop.fs.Path(path or self.root)
-        at.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(at, True)
+        delete(self.spark, path or self.root)
 
 
 def components(edges: DataFrame) -> DataFrame:

@@ -94,7 +94,7 @@ def laid_windows(docs: DataFrame, bench: DataFrame, text_col: str, size: int, si
     seeds = cut(bench.select("n", F.explode("b").alias("h")).distinct())
     n_seeds = seeds.count()
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    keyed = docs.select(F.xxhash64(text).alias("key"), text.alias("text"))
+    keyed = docs.select(text_key(text_col).alias("key"), text.alias("text"))
     words = keyed.select("key", word_hashes(F.col("text")).alias("wh"))
     held = lambda runs: words.select("key", F.size("wh").alias("size"), F.posexplode(runs).alias("at", "h"))
     hits = held(shingles(F.col("wh"), size, whole=False)).join(small_side(seeds.filter(F.col("n") >= size), n_seeds, BROADCAST_ROWS), "h")
@@ -119,7 +119,11 @@ def candidates(windows: DataFrame, index: DataFrame, radius: int, blocks: int) -
     return looked_up.join(small_side(items, items.count(), BROADCAST_ROWS), ["n", "block", "value"])
 
 
-def contaminated_texts(docs: DataFrame, items: DataFrame, *, text_col: str, item_col: str, item_text_col: str, size: int, radius: int, blocks: int, similarity: float) -> DataFrame:
+def text_key(text_col: str = "text") -> Column:
+    return F.xxhash64(F.coalesce(F.col(text_col).cast("string"), F.lit("")))
+
+
+def contaminated_texts(docs: DataFrame, items: DataFrame, *, text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", size: int = 5, radius: int = 17, blocks: int = 4, similarity: float = 0.8) -> DataFrame:
     """key (the hash of a text), item_id, start, hamming and similarity of the best window of every text and item."""
     bench = indexed(items, item_col, item_text_col, size)
     windows = laid_windows(docs, bench, text_col, size, similarity)
@@ -139,8 +143,7 @@ def contaminated_texts(docs: DataFrame, items: DataFrame, *, text_col: str, item
 def contaminated(docs: DataFrame, items: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", size: int = 5, radius: int = 17, blocks: int = 4, similarity: float = 0.8) -> DataFrame:
     """doc_id, item_id, start (in words), hamming and similarity of the best window of every matching document and item."""
     found = cut(contaminated_texts(docs, items, text_col=text_col, item_col=item_col, item_text_col=item_text_col, size=size, radius=radius, blocks=blocks, similarity=similarity))
-    own = F.xxhash64(F.coalesce(F.col(text_col).cast("string"), F.lit("")))
-    rows = docs.select(F.col(id_col).alias("doc_id"), own.alias("key")).join(small_side(found, found.count(), BROADCAST_ROWS), "key")
+    rows = docs.select(F.col(id_col).alias("doc_id"), text_key(text_col).alias("key")).join(small_side(found, found.count(), BROADCAST_ROWS), "key")
     best = F.max(F.struct("similarity", (-F.col("start")).alias("back"), (-F.col("hamming")).alias("close"))).alias("best")
     rows = rows.groupBy("doc_id", "item_id").agg(best)
     return rows.select("doc_id", "item_id", (-F.col("best.back")).alias("start"), (-F.col("best.close")).alias("hamming"), F.col("best.similarity").alias("similarity"))

@@ -1,15 +1,20 @@
-"""Near copies by exact similarity: texts whose sets of word shingles have a Jaccard similarity of `similarity` or more.
-
-Words are as in `native.word_hashes`; a text is the set of its shingles of `size` words (a shorter text is one shingle;
-no word gives the empty set, which only equals itself). Texts of one set are one node from the start.
-
-Candidates: with the shingles of every set in one order, two sets of that similarity share a shingle among the first
-`n - ceil(similarity n) + 1` of each, whatever the order is, so the search misses nothing. The order is by how often a
-shingle occurs in a sample of the texts, rare ones first, then by hash; the sample decides only how many candidates
-there are. Of a shingle's texts each is first compared with one, and only those still in different components are then
-compared with each other, so a large group of copies does not emit its pairs. All candidates are verified by their sets.
-
-Null text counts as empty; null and repeated ids keep a row each; an empty table gives none.
+"""SimHash near-duplicates held to an exact similarity: a Jaccard of `similarity` or more of the sets of word shingles.
+
+Words are those of `simhash_dedup` (A-Z lower-cased, cut at ASCII white space); a text is the set of its shingles of
+`size` words (a shorter text is one shingle; no word gives the empty set, which only equals itself). Texts of one set
+are one node from the start.
+
+First come SimHash's candidates: fingerprints of the sets, pigeonhole blocks and Hamming distance as in `simhash_dedup`.
+A radius that a block index can afford holds only the closest pairs, however: at a Jaccard of 0.8 fingerprints differ in
+some 10 of 64 bits, like those of many strangers. So a prefix search finds the rest, exactly: with the shingles of every
+set in one order, two sets of that similarity share a shingle among the first `n - ceil(similarity n) + 1` of each,
+whatever the order is. The order is by how often a shingle occurs in a sample of the texts, rare ones first, then by
+hash; the sample decides only how many candidates there are. Of a shingle's texts each is first compared with one, and
+only those still in different components, and of sizes that allow the similarity, are then compared with each other, so
+a large group of copies does not emit its pairs. All candidates, SimHash's too, are verified by their sets.
+
+Null text counts as empty; null and repeated ids keep a row each; a very long text is one set, whole; an empty table
+gives none; other columns are not looked at.
 """
 
 from __future__ import annotations
@@ -19,16 +24,18 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+import xxhash
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from skein.llm.common import cut
+from skein.llm.common import chunks, cut, texts
 from skein.llm.components import components
-from skein.llm.native import bound, shingles, small_side, word_hashes
+from skein.llm.lm_scoring import Hasher, mix
+from skein.llm.native import bound, small_side
+from skein.llm.simhash_dedup import fingerprint, links
 
 #: Texts of the sample that the order of the shingles comes from, and the most shingles it holds.
-SAMPLE, COMMON = 20_000, 200_000
+SAMPLE, COMMON = 5_000, 200_000
 
 #: Rows up to which a counted side is broadcast.
 BROADCAST_ROWS = 1_000_000
@@ -41,48 +48,86 @@ def text_key(text_col: str = "text") -> Column:
     return F.xxhash64(F.coalesce(F.col(text_col).cast("string"), F.lit("")))
 
 
-def shingle_set(text_col: str, size: int) -> Column:
-    return F.sort_array(F.array_distinct(shingles(word_hashes(F.col(text_col)), size)))
+def shingle_set(hasher: Hasher, text: str, size: int) -> np.ndarray:
+    """Sorted distinct hashes of the shingles of a text, as signed numbers."""
+    words = hasher.tokens(text)[:-1]
+    if not len(words):
+        return np.zeros(0, dtype=np.int64)
+    n = max(len(words) - size + 1, 1)
+    h = words[:n]
+    for k in range(1, min(size, len(words))):
+        h = mix(h, words[k : k + n])
+    return np.unique(h.view(np.int64))
+
+
+def set_rows(df: DataFrame, size: int) -> DataFrame:
+    """`df` (..., t) with (node, s), the hash of a text's set and the set, in place of the text t (the last column)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hasher = Hasher()
+        for chunk in chunks(batches, chunk_col):
+            sets = [shingle_set(hasher, t, size) for t in texts(chunk.column(chunk_col))]
+            nodes = [xxhash.xxh64_intdigest(s.tobytes()) for s in sets]
+            yield pa.RecordBatch.from_arrays([*chunk.columns[:-1], signed(nodes), lists(sets)], names=[*chunk.schema.names[:-1], "node", "s"])
+
+    chunk_col = len(df.columns) - 1
+    kept = [f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields[:-1]]
+    return df.mapInArrow(run, ", ".join([*kept, "node long", "s array<long>"]))
+
+
+def signed(numbers: list[int]) -> pa.Array:
+    return pa.array(np.array(numbers, dtype=np.uint64).view(np.int64))
+
+
+def lists(arrays: list[np.ndarray]) -> pa.Array:
+    offsets = np.cumsum([0, *map(len, arrays)]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate([np.zeros(0, dtype=np.int64), *arrays])))
 
 
-def common_shingles(df: DataFrame, text_col: str, size: int) -> tuple[np.ndarray, np.ndarray]:
+def common_shingles(texts_: DataFrame, size: int) -> tuple[np.ndarray, np.ndarray]:
     """Shingles that are in several texts of a sample, sorted, and in how many."""
-    rows = df.count()
-    share = min(1.0, SAMPLE / max(rows, 1))
-    some = df.select(text_col).filter(F.pmod(text_key(text_col), F.lit(1 << 20)) < int(share * (1 << 20)) + 1).distinct()
-    seen = some.select(F.explode(shingle_set(text_col, size)).alias("h")).groupBy("h").agg(F.count("*").alias("n")).filter("n > 2")
-    found = seen.orderBy(F.desc("n"), "h").limit(COMMON).toArrow()
-    h, n = found.column("h").to_numpy(), found.column("n").to_numpy()
-    order = np.argsort(h)
-    return h[order], n[order]
+    share = min(1.0, SAMPLE / max(texts_.count(), 1))
+    some = texts_.select("t").filter(F.xxhash64("t") <= int(share * 2.0**64) - 2**63 - 1).distinct()
+    seen = set_rows(some, size).select(F.explode("s").alias("h")).groupBy("h").agg(F.count("*").alias("n")).filter("n > 2")
+    found = seen.orderBy(F.desc("n"), "h").limit(COMMON).orderBy("h").toArrow()
+    return found.column("h").to_numpy(), found.column("n").to_numpy()
 
 
-def prefixes(sets: DataFrame, common: tuple[np.ndarray, np.ndarray], similarity: float) -> DataFrame:
-    """`sets` (..., s) with the first shingles of each set, in the common order, in place of the set."""
-    sent = sets.sparkSession.sparkContext.broadcast(common)
-    at = sets.columns.index("s")
+def described(df: DataFrame, common: tuple[np.ndarray, np.ndarray], size: int, similarity: float) -> DataFrame:
+    """(doc_id, text_key, node, n, fp, s) of rows (doc_id, text_key, t): a text's node, its set's size and fingerprint, and
+    the first shingles of the set in the common order."""
+    sent = df.sparkSession.sparkContext.broadcast(common)  # at most COMMON shingles
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, times = sent.value
-        for batch in batches:
-            flat, ends = batch.column(at).flatten().to_numpy(), np.cumsum(batch.column(at).value_lengths().to_numpy())
-            n_of = np.zeros(len(flat), dtype=np.int64)
-            if len(known):
-                i = np.minimum(np.searchsorted(known, flat), len(known) - 1)
-                n_of = np.where(known[i] == flat, times[i], 0)
-            out, start = [], 0
-            for end in ends.tolist():
-                n = end - start
-                first = n - math.ceil(similarity * n - ROUNDING) + 1 if n else 0
-                out.append(flat[start:end][np.lexsort((flat[start:end], n_of[start:end]))[:first]])
-                start = end
-            offsets = np.cumsum([0, *map(len, out)]).astype(np.int32)
-            values = np.concatenate(out) if out else np.array([], dtype=np.int64)
-            arrays = list(batch.columns)
-            arrays[at] = pa.ListArray.from_arrays(pa.array(offsets), pa.array(values, pa.int64()))
-            yield pa.RecordBatch.from_arrays(arrays, names=batch.schema.names)
-
-    return sets.mapInArrow(run, T.StructType([T.StructField(f.name, f.dataType) for f in sets.schema.fields]))
+        hasher, (known, times) = Hasher(), sent.value
+        for chunk in chunks(batches, 2):
+            nodes, sizes, fps, firsts = [], [], [], []
+            for t in texts(chunk.column(2)):
+                s = shingle_set(hasher, t, size)
+                n_of = np.zeros(len(s), dtype=np.int64)
+                if len(known):
+                    i = np.minimum(np.searchsorted(known, s), len(known) - 1)
+                    n_of = np.where(known[i] == s, times[i], 0)
+                first = len(s) - math.ceil(similarity * len(s) - ROUNDING) + 1 if len(s) else 0
+                firsts.append(s[np.argsort(n_of, kind="stable")[:first]])
+                nodes.append(xxhash.xxh64_intdigest(s.tobytes()))
+                sizes.append(len(s))
+                fps.append(fingerprint(s.view(np.uint64)))
+            arrays = [chunk.column(0), chunk.column(1), signed(nodes), pa.array(sizes, pa.int32()), pa.array(fps, pa.int64()), lists(firsts)]
+            yield pa.RecordBatch.from_arrays(arrays, names=["doc_id", "text_key", "node", "n", "fp", "s"])
+
+    kind = df.schema["doc_id"].dataType.simpleString()
+    return df.mapInArrow(run, f"doc_id {kind}, text_key long, node long, n int, fp long, s array<long>")
+
+
+def close_pairs(rows: DataFrame, radius: int, blocks: int) -> DataFrame:
+    """SimHash's candidates (a, b): nodes of one fingerprint as a star, and stars of fingerprints within the radius."""
+    of = cut(rows.select("fp", "node").distinct())
+    first = cut(of.groupBy("fp").agg(F.min("node").alias("first")))
+    same = of.join(first, "fp").filter("node <> first").select(F.col("first").alias("a"), F.col("node").alias("b"))
+    end = lambda c: first.select(F.col("fp").alias(c), F.col("first").alias(f"{c}_node"))
+    near = links(first.select("fp"), radius=radius, blocks=blocks).join(end("a"), "a").join(end("b"), "b")
+    return same.unionByName(near.select(F.col("a_node").alias("a"), F.col("b_node").alias("b")))
 
 
 def can_reach(a: Column, b: Column, similarity: float) -> Column:
@@ -100,36 +145,45 @@ def verified(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
     return pairs.join(left, "a").join(right, "b").filter(ok).select("a", "b")
 
 
-def near_copies(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", size: int = 5, similarity: float = 0.8) -> DataFrame:
+def size_band(n: Column, similarity: float) -> Column:
+    """Sets of the similarity are in one band or in neighbouring ones."""
+    return F.floor(F.log(n.cast("double")) / F.lit(-math.log(similarity)) + ROUNDING).cast("int")
+
+
+def unlinked_pairs(entries: DataFrame, labels: DataFrame, similarity: float) -> DataFrame:
+    """Pairs (a, b) of one shingle that are in different components and could reach the similarity."""
+    labelled = cut(entries.join(labels, "node", "left").select("node", "n", "pos", "h", F.coalesce("label", "node").alias("label")))
+    mixed = labelled.groupBy("h").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low < high").select("h")
+    open_ = cut(labelled.join(cut(mixed), "h").select("h", size_band(F.col("n"), similarity).alias("band"), F.struct("node", "n", "pos", "label").alias("e")))
+    left = open_.select("h", F.col("band").alias("at"), "band", F.col("e").alias("p"))
+    right = open_.select("h", F.explode(F.array(F.col("band"), F.col("band") - 1)).alias("at"), F.col("band").alias("own"), F.col("e").alias("q"))
+    met = left.join(right, ["h", "at"]).filter((F.col("p.label") != F.col("q.label")) & ((F.col("band") < F.col("own")) | (F.col("p.node") < F.col("q.node"))))
+    met = met.filter(can_reach(F.col("p"), F.col("q"), similarity))
+    return met.select(F.least("p.node", "q.node").alias("a"), F.greatest("p.node", "q.node").alias("b")).distinct()
+
+
+def near_copies(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", size: int = 5, similarity: float = 0.8, radius: int = 4, blocks: int = 6) -> DataFrame:
     """doc_id, text_key and copy_group (a number for each component of near copies) of every row."""
-    text = df.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("t"))
-    sets = text.select("doc_id", text_key("t").alias("text_key"), shingle_set("t", size).alias("s"))
-    sets = sets.select("doc_id", "text_key", F.xxhash64("s").alias("node"), F.size("s").alias("n"), "s")
-    rows = cut(prefixes(sets, common_shingles(text, "t", size), similarity))
+    text = df.select(F.col(id_col).alias("doc_id"), text_key(text_col).alias("text_key"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("t"))
+    rows = cut(described(text, common_shingles(text, size), size, similarity))
 
     entries = rows.select("node", "n", "s").dropDuplicates(["node"]).select("node", "n", F.posexplode("s").alias("pos", "h"))
-    own = Window.partitionBy("h")
-    entries = entries.withColumn("of", F.count("*").over(own)).withColumn("hub", F.min(F.struct("node", "n", "pos")).over(own))
-    entries = cut(entries.filter("of > 1").drop("of"))
-    me = F.struct("n", "pos")
-    stars = entries.filter(F.col("node") != F.col("hub.node")).filter(can_reach(me, F.col("hub"), similarity))
-    stars = cut(stars.select(F.col("hub.node").alias("a"), F.col("node").alias("b")).distinct())
-
-    nodes = cut(entries.select("node").distinct())
-    keys = rows.join(small_side(nodes, nodes.count(), BROADCAST_ROWS), "node", "left_semi").groupBy("node").agg(F.min("text_key").alias("k"))
-    keys = cut(keys)
-    some = text.withColumn("k", text_key("t")).join(small_side(keys, keys.count(), BROADCAST_ROWS), "k")
-    sets = cut(some.dropDuplicates(["node"]).select("node", shingle_set("t", size).alias("s")))
-
-    edges = cut(verified(stars, sets, similarity))
-    labels = components(edges)
-    open_ = entries.join(labels, "node", "left").select("node", "n", "pos", "h", F.coalesce("label", "node").alias("label"))
-    open_ = open_.withColumn("low", F.min("label").over(own)).withColumn("high", F.max("label").over(own))
-    open_ = cut(open_.filter("low < high").select("h", F.struct("node", "n", "pos", "label").alias("e")))
-    met = open_.select("h", F.col("e").alias("p")).join(open_.select("h", F.col("e").alias("q")), "h")
-    met = met.filter((F.col("p.label") < F.col("q.label")) & can_reach(F.col("p"), F.col("q"), similarity))
-    met = met.select(F.least("p.node", "q.node").alias("a"), F.greatest("p.node", "q.node").alias("b")).distinct()
-    met = cut(met.join(stars, ["a", "b"], "left_anti"))
-    labels = components(cut(edges.unionByName(verified(met, sets, similarity))))
+    hubs = entries.groupBy("h").agg(F.count("*").alias("of"), F.min(F.struct("node", "n", "pos")).alias("hub")).filter("of > 1").drop("of")
+    entries = cut(entries.join(hubs, "h"))  # rows of a common shingle are dealt for this join alone, which can be split
+    reach = can_reach(F.struct("n", "pos"), F.col("hub"), similarity)
+    stars = entries.filter((F.col("node") != F.col("hub.node")) & reach).select(F.col("hub.node").alias("a"), F.col("node").alias("b"))
+    first = stars.unionByName(close_pairs(rows, radius, blocks))
+    first = cut(first.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
+
+    nodes = cut(entries.select("node").union(first.select("a")).union(first.select("b")).distinct())
+    keys = rows.select("node", "text_key").join(small_side(nodes, nodes.count(), BROADCAST_ROWS), "node", "left_semi").groupBy("node").agg(F.min("text_key").alias("k"))
+    keys = cut(keys.select("k").distinct())
+    some = text.select("t", "text_key").join(small_side(keys, keys.count(), BROADCAST_ROWS), F.col("text_key") == F.col("k"), "left_semi")
+    sets = cut(set_rows(some.dropDuplicates(["text_key"]).select("t"), size).dropDuplicates(["node"]))
+
+    edges = cut(verified(first, sets, similarity))
+    met = unlinked_pairs(entries.drop("hub"), components(edges), similarity)
+    met = cut(met.join(first, ["a", "b"], "left_anti"))
+    labels = components(edges.unionByName(verified(met, sets, similarity)))
     group = F.coalesce("label", "node").alias("copy_group")
     return rows.select("doc_id", "text_key", "node").join(labels, "node", "left").select("doc_id", "text_key", group)

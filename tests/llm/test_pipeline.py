@@ -1,28 +1,114 @@
 import random
+from collections import Counter
+
+from pyspark.sql import functions as F
 
 import corpus_pipeline
-from skein.llm import simhash_dedup
 from tests.conftest import DATA
-from tests.llm.test_simhash import plain_contaminated
+from tests.llm.test_simhash import plain_contaminated, plain_labels
+from tests.llm.test_tokens import check_pieces
+
+
+def five_grams(text):
+    w = (text or "").encode().lower().split()
+    return frozenset(tuple(w[i : i + 5]) for i in range(max(len(w) - 4, 1))) if w else frozenset()
+
+
+def plain_survivors(rows):
+    """Least ids of the groups of rows (id, text) that a Jaccard of 0.8 links, by comparing all that share a shingle."""
+    sets = [five_grams(t) for _, t in rows]
+    holders, pairs = {}, []
+    for i, s in enumerate(sets):
+        for g in s or [()]:
+            holders.setdefault(g, []).append(i)
+    seen = set()
+    for some in holders.values():
+        for i, a in enumerate(some):
+            for b in some[i + 1 :]:
+                if (a, b) not in seen:
+                    seen.add((a, b))
+                    x, y = sets[a], sets[b]
+                    if (not x and not y) or 5 * len(x & y) >= 4 * len(x | y):
+                        pairs.append((a, b))
+    labels = plain_labels([*pairs, *((i, i) for i in range(len(rows)))])
+    low = {}
+    for i, (doc, _) in enumerate(rows):
+        low[labels[i]] = min(low.get(labels[i], doc), doc)
+    return sorted(low.values())
+
+
+def ids(df):
+    return sorted(r.doc_id for r in df.select("doc_id").collect())
 
 
 def test_stages_keep_what_they_should(spark, documents):
     """Each stage against a plain version of its decision, on its own input."""
-    docs = documents.withColumn("__evidence", documents.n_chars)
-    ids = lambda df: {r.doc_id for r in df.select("doc_id").collect()}
     stages = dict(corpus_pipeline.STAGES)
     assert list(stages) == ["toxicity", "language", "near_dedup", "decontamination", "packing"]
+    rows = [(r.doc_id, r.text) for r in documents.collect()]
     kept = stages["language"](spark, documents, DATA)
-    assert kept.columns == documents.columns and ids(kept) == ids(documents)
+    assert kept.columns == documents.columns and ids(kept) == sorted(i for i, _ in rows)
     once = stages["near_dedup"](spark, documents, DATA)
-    found = simhash_dedup.near_duplicates(documents).collect()
-    assert once.columns == documents.columns and sorted(r.doc_id for r in once.collect()) == sorted({r.component_id for r in found})
-    short = documents.filter("length(text) < 4000")
-    clean = stages["decontamination"](spark, short, DATA)
+    assert once.columns == documents.columns and ids(once) == plain_survivors(rows)
+    clean = stages["decontamination"](spark, documents, DATA)
     items = [(r.item_id, r.text) for r in spark.read.parquet(f"{DATA}/benchmark.parquet").collect()]
-    bad = {i for i, _ in plain_contaminated([(r.doc_id, r.text) for r in short.collect()], items)}
-    assert clean.columns == documents.columns and ids(clean) == ids(short) - bad
-    assert docs.count() == documents.count()
+    bad = {i for i, _ in plain_contaminated(rows, items)}
+    assert clean.columns == documents.columns and ids(clean) == sorted(i for i, _ in rows if i not in bad)
+
+
+def test_toxicity_stage_decides_as_the_labels_do(spark):
+    folder = "/root/testdata/sf0.1"
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    labels = spark.read.parquet(f"{folder}/labels.parquet")
+    kept = corpus_pipeline.toxicity_stage(spark, docs.join(labels, "doc_id", "left_semi"), folder)
+    left, known = set(ids(kept)), {r.doc_id: r.toxic for r in labels.collect()}
+    assert sorted(kept.columns) == sorted(docs.columns)
+    assert sum(i not in left for i, y in known.items() if y) > 0.9 * sum(known.values())
+    assert sum(i in left for i, y in known.items() if not y) > 0.99 * sum(not y for y in known.values())
+
+
+def test_packing_stage_packs_all(spark, documents):
+    rows = corpus_pipeline.packing_stage(spark, documents, DATA).collect()
+    used, room = check_pieces(rows, {r.doc_id: [r.text] for r in documents.collect()})
+    assert used > 0.98 * room
+
+
+def test_stages_of_odd_rows(spark, odd, empty):
+    """Nulls, empty, very long and repeated texts, null and repeated ids, and columns named like the stages' own."""
+    clashing = ["evidence", "belongs", "Lang_Pred", "of_id", "of_key", "stays", "own_key", "held_key", "text_key", "key", "a.b"]
+    docs = odd
+    for c in clashing:
+        docs = docs.drop(c).withColumn(c, F.lit(7))
+    rows = [(r.doc_id, r.text) for r in odd.collect()]
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        kept = stage(spark, docs, DATA)
+        found = [(r.doc_id, r.text) for r in kept.collect()]
+        assert kept.columns == docs.columns and Counter(found) <= Counter(rows), name
+        assert {tuple(r[c] for c in clashing) for r in kept.collect()} <= {(7,) * len(clashing)}
+        none = stage(spark, docs.filter("false"), DATA)
+        assert none.count() == 0 and none.columns == docs.columns
+        if name == "language":
+            assert {i for i, _ in found} <= {i for i, t in rows if t and any(map(str.isalpha, t))}
+        if name == "near_dedup":
+            assert len(found) == len({five_grams(t) for _, t in rows}) and (3, None) in found and (6, "word") in found
+        if name == "decontamination":
+            assert Counter(found) == Counter(rows)
+    check_pieces(corpus_pipeline.packing_stage(spark, docs, DATA).collect(), {i: [t for k, t in rows if k == i] for i, _ in rows})
+    assert corpus_pipeline.packing_stage(spark, empty, DATA).count() == 0
+
+
+def test_language_stage_rejects_what_belongs_to_none(spark, documents):
+    strange = ["это предложение на русском языке которое ни один из языков не знает", "qx zvk wjp bnm rtx qqz kkw vvx pzj qwk jxz mnz bvq zzk", None, "", "123 456"]
+    extra = spark.createDataFrame([(10**6 + i, t) for i, t in enumerate(strange)], "doc_id long, text string")
+    both = documents.unionByName(extra, allowMissingColumns=True)
+    assert ids(corpus_pipeline.language_stage(spark, both, DATA)) == ids(documents)
+
+
+def test_rows_of_one_id_have_their_own_fate(spark):
+    item = spark.read.parquet(f"{DATA}/benchmark.parquet").first().text
+    rows = [(None, f"some words before {item} and after"), (None, "a clean text of some words"), (4, item), (4, "another clean text")]
+    kept = corpus_pipeline.decontamination_stage(spark, spark.createDataFrame(rows, "doc_id long, text string"), DATA)
+    assert sorted((r.text for r in kept.collect())) == ["a clean text of some words", "another clean text"]
 
 
 def test_run(spark, documents):
