@@ -50,20 +50,25 @@ def to_inet_sql(s: str) -> str:
 
 def inet_text_sql(a: str) -> str:
     """SQL for an address's usual text; a full prefix is left out."""
-    v4 = f"array_join(transform(sequence(0, 3), i -> conv(substring(hex({a}.addr), 2 * i + 1, 2), 16, 10)), '.')"
-    groups = f"array_join(transform(sequence(0, 7), i -> lower(conv(substring(hex({a}.addr), 4 * i + 1, 4), 16, 16))), ':')"
+    v4 = "array_join(transform(sequence(0, 3), i -> conv(substring(hex(x.addr), 2 * i + 1, 2), 16, 10)), '.')"
+    groups = "array_join(transform(sequence(0, 7), i -> lower(conv(substring(hex(x.addr), 4 * i + 1, 4), 16, 16))), ':')"
     shorter = " ".join(f"WHEN v RLIKE '(^|:)0(:0){{{n - 1}}}(:|$)' THEN regexp_replace(v, '^(.*?)(^|:)0(:0){{{n - 1}}}(:|$)(.*)$', '$1::$5')" for n in range(8, 1, -1))
     v6 = once(groups, "v", f"CASE {shorter} ELSE v END")
-    return f"CASE WHEN {a} IS NOT NULL THEN concat(CASE WHEN {a}.family = 4 THEN {v4} ELSE {v6} END, CASE WHEN {a}.prefix = CASE WHEN {a}.family = 4 THEN 32 ELSE 128 END THEN '' ELSE concat('/', {a}.prefix) END) END"
+    text = f"concat(CASE WHEN x.family = 4 THEN {v4} ELSE {v6} END, CASE WHEN x.prefix = CASE WHEN x.family = 4 THEN 32 ELSE 128 END THEN '' ELSE concat('/', x.prefix) END)"
+    return once(a, "x", f"CASE WHEN x IS NOT NULL THEN {text} END")
 
 
 def contained_by_sql(a: str, b: str) -> str:
-    """SQL for whether a is b or lies inside it: same family, no shorter prefix, equal leading bits."""
-    whole = f"{b}.prefix DIV 4"
-    nibble = lambda x: f"shiftright(CAST(conv(substring(hex({x}.addr), CAST({whole} AS INT) + 1, 1), 16, 10) AS INT), 4 - CAST({b}.prefix % 4 AS INT))"
-    start = lambda x: f"substring(hex({x}.addr), 1, CAST({whole} AS INT))"
-    same = f"{start(a)} = {start(b)} AND ({b}.prefix % 4 = 0 OR {nibble(a)} = {nibble(b)})"
-    return f"CASE WHEN {a} IS NULL OR {b} IS NULL THEN NULL ELSE {a}.family = {b}.family AND {a}.prefix >= {b}.prefix AND {same} END"
+    """SQL for whether a is b or lies inside it: same family, no shorter prefix, equal leading bits.
+
+    The leading whole digits of the two in hexadecimal are equal, and so are the leading bits of the next one.
+    """
+    whole = "CAST(p.y.prefix DIV 4 AS INT)"
+    digit = lambda x: f"shiftright(CAST(conv(substring(hex(p.{x}.addr), {whole} + 1, 1), 16, 10) AS INT), 4 - CAST(p.y.prefix % 4 AS INT))"
+    start = lambda x: f"substring(hex(p.{x}.addr), 1, {whole})"
+    same = f"{start('x')} = {start('y')} AND (p.y.prefix % 4 = 0 OR {digit('x')} = {digit('y')})"
+    inside = f"CASE WHEN p.x IS NULL OR p.y IS NULL THEN NULL ELSE p.x.family = p.y.family AND p.x.prefix >= p.y.prefix AND {same} END"
+    return once(f"named_struct('x', {a}, 'y', {b})", "p", inside)
 
 
 def to_inet(text: str) -> Column:

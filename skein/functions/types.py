@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
-from skein.functions.inet import INET, to_inet_sql
+from skein.functions.inet import INET, once, to_inet_sql
 from skein.sources.header import LogError, LogHeader
 
 #: The shapes of numbers, as regular expressions in SQL text.
@@ -54,20 +54,22 @@ def plain_digits(s: str) -> str:
 
 
 def whole_number(s: str) -> str:
-    """SQL for a lenient whole number as DECIMAL(20, 0): decimal and exponent forms are rounded half away from zero."""
-    t = plain_digits(s)
-    return f"coalesce(CAST(try_cast({s} AS BIGINT) AS DECIMAL(20, 0)), CASE WHEN {t} RLIKE '{NUMBER}' THEN try_cast({t} AS DECIMAL(20, 0)) END)"
+    """SQL for a lenient whole number as DECIMAL(20, 0): decimal and exponent forms are rounded half away from zero.
+
+    A plain run of at most 18 digits, as nearly all fields are, is cast; only others go through the patterns.
+    """
+    odd = once(plain_digits(s), "t", f"CASE WHEN t RLIKE '{NUMBER}' THEN try_cast(t AS DECIMAL(20, 0)) END")
+    return f"coalesce(CAST(try_cast({s} AS BIGINT) AS DECIMAL(20, 0)), {odd})"
 
 
 def unsigned(s: str, most: str) -> str:
-    number = whole_number(s)
-    minus = rf"{plain_digits(s)} RLIKE '^\\s*-' AND NOT {plain_digits(s)} RLIKE '^\\s*-0+\\s*$'"
-    return f"CASE WHEN {number} BETWEEN 0 AND {most} AND NOT ({minus}) THEN {number} END"
+    """SQL for a whole number from 0 to `most`; what is below zero before it is rounded is null."""
+    minus = rf"(startswith(ltrim({s}), '-') AND NOT {plain_digits(s)} RLIKE '^\\s*-0+\\s*$')"
+    return once(whole_number(s), "n", f"CASE WHEN n BETWEEN 0 AND {most} AND NOT {minus} THEN n END")
 
 
 def real(s: str) -> str:
-    t = plain_digits(s)
-    return f"CASE WHEN {t} RLIKE '{NUMBER}' OR lower({s}) RLIKE '{NOT_FINITE}' THEN try_cast({t} AS DOUBLE) END"
+    return once(plain_digits(s), "t", f"CASE WHEN t RLIKE '{NUMBER}' OR lower({s}) RLIKE '{NOT_FINITE}' THEN try_cast(t AS DOUBLE) END")
 
 
 def micros(s: str) -> str:
@@ -96,13 +98,13 @@ def scalar_sql(s: str, log_type: str, inet: bool) -> str:
 
 
 def field_sql(s: str, log_type: str, header: LogHeader, inet: bool = True) -> str:
-    """SQL for a raw field: null if absent or a marker, else its value."""
+    """SQL for a raw field: null if absent or a marker, else its value. The raw text is taken out of its line once."""
     markers = f"{quoted(header.unset)}, {quoted(header.empty)}"
     inner = element_type(log_type)
     if inner is None:
-        value = scalar_sql(s, log_type, inet)
+        value = scalar_sql("f", log_type, inet)
     elif element_type(inner) is not None:
         raise LogError(f"lists of lists are not supported: {log_type}")
     else:
-        value = f"transform(split({s}, {literal_pattern(header.set_separator)}, -1), e -> CASE WHEN e NOT IN ({markers}) THEN {scalar_sql('e', inner, inet)} END)"
-    return f"CASE WHEN {s} NOT IN ({markers}) THEN {value} END"
+        value = f"transform(split(f, {literal_pattern(header.set_separator)}, -1), e -> CASE WHEN e NOT IN ({markers}) THEN {scalar_sql('e', inner, inet)} END)"
+    return once(s, "f", f"CASE WHEN f NOT IN ({markers}) THEN {value} END")

@@ -39,14 +39,30 @@ def parsed(lines: DataFrame, header: LogHeader, columns: list[tuple[str, str, st
     return rows.select(*out, *rows.columns[1:])
 
 
+def respelling(pairs: list[tuple[str, str]]) -> tuple[str, str] | None:
+    """(front, new) if every (whole, spelt) path has `new` where `whole` has `front`, followed by the same; else None."""
+    whole, spelt = pairs[0]
+    shared = len(os.path.commonprefix([whole[::-1], spelt[::-1]]))
+    front, new = whole[: len(whole) - shared], spelt[: len(spelt) - shared]
+    fits = all(w.startswith(front) and s == new + w[len(front) :] for w, s in pairs)
+    return (front, new) if fits else None
+
+
 def file_names(paths: list[str]) -> Column:
-    """The file a row is read from, spelt as in `paths`: Spark's own spelling, percent-decoded, in a literal map.
+    """The file a row is read from, spelt as in `paths`, from Spark's own spelling, percent-decoded.
 
-    url_decode takes a plus for a blank, so pluses are escaped before it.
+    Paths of one pattern differ from Spark's by one beginning at most (none, or the working folder), so the plan does not
+    grow with their number; where they do not, they are looked up in a literal map. url_decode takes a plus for a blank, so
+    pluses are escaped before it.
     """
-    pairs = [F.lit(x) for p in paths for x in (os.path.abspath(local_path(p)) if is_local(p) else p, p)]
+    pairs = [(os.path.abspath(local_path(p)) if is_local(p) else p, p) for p in paths]
     spelt = F.url_decode(F.replace(F.regexp_replace(F.col("_metadata.file_path"), "^file:/*", "/"), F.lit("+"), F.lit("%2B")))
-    return F.element_at(F.create_map(*pairs), spelt)
+    found = respelling(pairs)
+    if found == ("", ""):
+        return spelt
+    if found:
+        return F.concat(F.lit(found[1]), F.substring(spelt, F.lit(len(found[0]) + 1), F.length(spelt)))
+    return F.element_at(F.create_map(*[F.lit(x) for pair in pairs for x in pair]), spelt)
 
 
 def groups(pairs: list[tuple[str, LogHeader]]) -> Iterator[tuple[LogHeader, list[str]]]:

@@ -8,7 +8,8 @@ import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
-from skein.plans.reader import read_log
+from skein.plans.reader import read_log, respelling
+from skein.sources import files
 from skein.sources.header import LogError
 from tests.conftest import rows
 
@@ -185,3 +186,60 @@ def test_times_are_instants(spark, log):
     assert rows(read_log(spark, p).selectExpr("string(t)")) == [("2026-01-16 00:00:02.060078",)]
     assert read_log(spark, p).filter("t > timestamp '2026-01-16'").count() == 1
     assert isinstance(read_log(spark, p).first()[0], datetime)
+
+
+def test_remote_globs_go_into_folders(spark, log, tmp_path):
+    """A store that only Spark opens: `**` matches folders of any depth, as it does for local paths."""
+    for name in ("a.log", "x/b.log", "x/y/c.log.gz", "x/y/d.txt", ".hidden/e.log"):
+        log(name, ["n"], ["string"], [name], opener=gzip.open if name.endswith("gz") else open)
+    spark._jsc.hadoopConfiguration().set("fs.viewfs.mounttable.logs.link./in", f"file://{tmp_path}")
+    got = rows(read_log(spark, "viewfs://logs/in/**/*.log*", filename=True))
+    assert sorted(got) == [(n, f"viewfs://logs/in/{n}") for n in ("a.log", "x/b.log", "x/y/c.log.gz")]
+    assert [r[0] for r in rows(read_log(spark, "viewfs://logs/in/x/**/c*"))] == ["x/y/c.log.gz"]
+    assert sorted(r[0] for r in rows(read_log(spark, "viewfs://logs/in/x/*.log"))) == ["x/b.log"]
+    with pytest.raises(LogError, match="No files found"):
+        read_log(spark, "viewfs://logs/in/none/**/*.log")
+
+
+def test_very_many_files(spark, log, tmp_path, monkeypatch):
+    """Headers are read by tasks, and neither the plan nor what comes back grows with the number of files."""
+    for i in range(3_000):
+        (tmp_path / f"{i:05d}.log").write_text(f"#separator \\x09\n#fields\tn\n#types\tint\n{i}\n")
+    monkeypatch.setattr(files, "sniff", None)
+    df = read_log(spark, f"{tmp_path}/*.log", filename=True)
+    assert len(df._jdf.queryExecution().analyzed().toString()) < 20_000
+    some = df.filter("n < 300")
+    assert rows(some.selectExpr("count(*)", "count(DISTINCT filename)")) == [(300, 300)]
+    assert df.filter("n = 17").first().filename == f"{tmp_path}/00017.log"
+
+
+def test_faults_found_in_tasks_are_those_of_the_driver(spark, log, tmp_path, monkeypatch):
+    log("good.log.gz", ["id"], ["string"], ["A1", "A2"], opener=gzip.open)
+    log("plain.log", ["id"], ["string"], ["A3"])
+    (tmp_path / "fake.log.gz").write_text("plain text")
+    (tmp_path / "none.log").write_text("")
+    paths = sorted(str(p) for p in tmp_path.iterdir())
+    by_driver = [(type(h), str(h)) for h in (attempt(spark, p) for p in paths)]
+    by_tasks = [(type(h), str(h)) for h in files.sniff_in_tasks(spark, paths)]
+    assert by_driver == by_tasks
+    monkeypatch.setattr(files, "IN_TASKS", 1)
+    assert read_log(spark, f"{tmp_path}/*", ignore_file_errors=True).count() == 3
+    with pytest.raises(LogError, match="Input is not a GZIP stream"):
+        read_log(spark, f"{tmp_path}/*")
+
+
+def attempt(spark, path):
+    try:
+        return files.sniff(spark, path)
+    except LogError as e:
+        return e
+
+
+def test_spellings(spark, log, tmp_path, monkeypatch):
+    (tmp_path / "deep").mkdir()
+    for n in ("deep/a.log", "deep/b.log"):
+        log(n, ["n"], ["string"], [n])
+    monkeypatch.chdir(tmp_path / "deep")
+    assert sorted(rows(read_log(spark, "../deep/*.log", filename=True))) == [("deep/a.log", "../deep/a.log"), ("deep/b.log", "../deep/b.log")]
+    assert respelling([("/w/a", "a"), ("/w/b", "b")]) == ("/w/", "") and respelling([("/a", "/a")]) == ("", "")
+    assert respelling([("/w/a", "a"), ("/v/b", "b")]) is None
