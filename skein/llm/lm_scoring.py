@@ -13,7 +13,8 @@ Probability: (c(u v) - D(c)) / c(u) plus the context's discounted mass times the
 discounted and interpolated with the uniform one over the V training words and one unknown. D for one, two, more.
 
 Nulls count as empty text (one end token); repeated rows and null ids are scored (and learnt from) row by row; without
-training rows every probability is 1; an empty table gives no rows; other columns are not looked at.
+training rows every probability is 1; a very long text is scored whole, in a batch of its own; equal texts have equal
+scores; an empty table gives no rows; other columns are not looked at.
 """
 
 from __future__ import annotations
@@ -44,6 +45,9 @@ def word_hash(word: bytes) -> int:
     return xxhash.xxh64_intdigest(word)
 
 
+#: Files that one task has mapped at a time.
+MAPS = 8_192
+
 #: Hashes of the marks; no word has a blank in it.
 BEGIN, END = word_hash(b" begin"), word_hash(b" end")
 
@@ -265,6 +269,8 @@ class MappedModel:
 
     def parts(self, name: str) -> list[np.ndarray] | None:
         if name not in self.maps:
+            if len(self.maps) >= MAPS:
+                self.maps.clear()
             try:
                 self.maps[name] = unpack(np.memmap(self.model.files.local(name, self.scratch), dtype=np.uint8, mode="r"))
             except FileNotFoundError:  # nothing fell into it
@@ -340,19 +346,22 @@ def train(df: DataFrame, *, text_col: str = "text") -> KneserNey:
     shards = partitions_for(spark, tokens * 8, 24 << 20)
     buckets_log = max(3, math.ceil(math.log2(shards)))
     files = SharedFiles.create(spark, "kneser-ney")
-    counted = rows.mapInArrow(pair_counter(heavy, shards), "shard long, pairs binary")
+    counted = rows.mapInArrow(pair_counter(heavy, shards), "shard long, pairs binary").repartition(shards, "shard")
     stats = counted.groupBy("shard").applyInArrow(shard_writer(files, buckets_log), "bucket long, stats binary")
-    sums = stats.groupBy("bucket").applyInArrow(word_writer(files), "kind long, m array<long>").collect()  # a row for each bucket
+    stats = stats.repartition(1 << buckets_log, "bucket")
+    sums = stats.groupBy("bucket").applyInArrow(word_writer(files), "kind long, m array<long>")
+    each = [F.sum(F.get("m", F.lit(k))).alias(f"m{k}") for k in range(8)]
+    sums = sums.groupBy("kind").agg(*each).select("kind", F.array(*[F.coalesce(f"m{k}", F.lit(0)) for k in range(8)]).alias("m")).collect()  # two rows
     release(spark)
-    met = next((r.m for r in sums if r.kind), [0] * 4)
-    m = np.sum([r.m for r in sums if not r.kind] or [[0] * 8], axis=0).tolist()
+    met = next((r.m for r in sums if r.kind), [0] * 8)[:4]
+    m = next((r.m for r in sums if not r.kind), [0] * 8)
     pair, word = discounts(met), discounts(m[:4])
     mass = (word[1] * m[0] + word[2] * m[1] + word[3] * m[4]) / max(m[5], 1)
     return KneserNey(files, shards, buckets_log, heavy, tokens=m[7], vocabulary=m[6], types=m[5], pair=pair, word=word, mass=float(mass))
 
 
 def scored(df: DataFrame, model: KneserNey, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, n_tokens, n_known, base_score and score (log10 probabilities of the text) of every row."""
+    """doc_id, n_tokens, n_known, base_score and score (log10 probabilities of the text) and perplexity (a token) of every row."""
     sent = df.sparkSession.sparkContext.broadcast(model)  # numbers, file names and fewer than 1,000 heavy words
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -365,17 +374,16 @@ def scored(df: DataFrame, model: KneserNey, *, id_col: str = "doc_id", text_col:
             mapped.close()
 
     rows = df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return rows.mapInArrow(run, "doc_id long, n_tokens long, n_known long, base_score double, score double")
-
-
-def perplexity(score, n_tokens):
-    return F.pow(F.lit(10.0), -score / n_tokens)
+    found = rows.mapInArrow(run, "doc_id long, n_tokens long, n_known long, base_score double, score double")
+    return found.withColumn("perplexity", F.pow(F.lit(10.0), -F.col("score") / F.col("n_tokens")))  # n_tokens: 1 at least
 
 
 def op9_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents")
     model = train(documents.filter(id_bucket("doc_id", 7) != 2))
-    found = scored(documents, model).select("doc_id", (id_bucket("doc_id", 7) == 2).alias("held_out"), "n_tokens", "n_known", F.lit(model.tokens).cast("long").alias("train_tokens"), "base_score", "score")
-    found = cut(found)
-    model.delete()
-    return found
+    try:
+        found = scored(documents, model)
+        held = (id_bucket("doc_id", 7) == 2).alias("held_out")
+        return cut(found.select("doc_id", held, "n_tokens", "n_known", F.lit(model.tokens).cast("long").alias("train_tokens"), "base_score", "score", "perplexity"))
+    finally:
+        model.delete()
