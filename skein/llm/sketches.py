@@ -8,7 +8,8 @@ sketch's hashes in hexadecimal, 16 digits each, in order.
 
 Null text counts as empty: no hash, the empty fingerprint; two empty sketches are alike (1), an empty and another are
 not (0). Rows of one id share their place in the order of ids; the text taken of such an id for its neighbour is the
-greatest. Null ids come last. An empty table gives no rows; other columns are not looked at.
+greatest. Null ids come last. A very long text is sketched whole, its sketch growing with it by the fraction. An empty
+table gives no rows; other columns are not looked at.
 """
 
 from __future__ import annotations
@@ -19,8 +20,9 @@ from pyspark.sql import functions as F
 from skein.llm.common import cut, table
 from skein.llm.native import bound, shingles, word_hashes
 
-#: The share of the hash range that a sketch keeps.
-FRACTION = 1 / 8
+#: The share of the hash range that a sketch keeps. At a quarter a text of 100 words keeps some 25 hashes; more would not
+#: leave the shuffles of op10 within their disk.
+FRACTION = 1 / 4
 
 
 def sketch(text: Column, size: int = 5, fraction: float = FRACTION) -> Column:
@@ -94,17 +96,18 @@ def following(ids: DataFrame) -> DataFrame:
 def edited(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Each row with its next document and its edited text (the last third replaced by the next one's beginning).
 
-    Texts are dealt by id once, for both joins (which therefore need the same columns of them); the next document sends
-    no more than the beginning that is needed.
+    Texts are dealt by id once, for both joins (which therefore need the same columns of them), and sketched behind the
+    deal; the next document sends its sketch and no more than the beginning that is needed.
     """
-    docs = keyed(fingerprints(df, id_col=id_col, text_col=text_col), "doc_id", "").drop("doc_id")
+    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
+    docs = keyed(df.select(F.col(id_col).cast("long").alias("doc_id"), text.alias("text")), "doc_id", "").drop("doc_id")
     source = df.select(F.col(id_col).cast("long").alias("doc_id"), F.char_length(F.coalesce(F.col(text_col).cast("string"), F.lit(""))).alias("n"))
     most = cut(source.groupBy("doc_id").agg((F.max("n") / 3).cast("int").alias("most")))
     pairs = most.join(following(most.select("doc_id")).withColumnRenamed("doc_id", "id"), F.col("doc_id").eqNullSafe(F.col("id")))
     pairs = cut(keyed(keyed(pairs.select("doc_id", "next_id", "most"), "doc_id", "before_"), "next_id", "next_"))
     pairs = pairs.select("before_key", "before_none", "next_key", "next_none", "most")
     sent = docs.join(pairs, (F.col("key") == F.col("next_key")) & (F.col("none") == F.col("next_none")))
-    begin = F.struct(F.substring("text", F.lit(1), F.col("most")).alias("begin"), F.col("sketch").alias("next_sketch"))
+    begin = F.struct(F.substring("text", F.lit(1), F.col("most")).alias("begin"), sketch(F.col("text")).alias("next_sketch"))
     sent = sent.select("before_key", "before_none", begin.alias("sent")).groupBy("before_key", "before_none").agg(F.max("sent").alias("sent"))
     rows = docs.join(sent, (F.col("key") == F.col("before_key")) & (F.col("none") == F.col("before_none")))
     rows = rows.withColumn("n_chars", F.char_length("text"))
@@ -112,7 +115,7 @@ def edited(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") ->
     head = F.substring("text", F.lit(1), F.col("n_chars") - cut_off)
     text = F.concat(head, F.substring(F.col("sent.begin"), F.lit(1), cut_off))
     own = F.when(~F.col("none"), F.col("key")).alias("doc_id")
-    return rows.select(own, F.col("n_chars").cast("long").alias("n_chars"), "sketch", F.col("sent.next_sketch").alias("next_sketch"), text.alias("edited"))
+    return rows.select(own, F.col("n_chars").cast("long").alias("n_chars"), sketch(F.col("text")).alias("sketch"), F.col("sent.next_sketch").alias("next_sketch"), text.alias("edited"))
 
 
 def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
