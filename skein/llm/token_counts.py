@@ -24,8 +24,8 @@ from pyspark.sql import functions as F
 from skein.llm.common import chunks, table, texts
 from skein.llm.encoder import PATTERN, byte_alphabet
 
-#: Chunks whose counts one worker holds; beyond it the memo starts anew.
-MEMO = 250_000
+#: Chunks whose counts one worker holds, and the longest of them in characters; beyond it the memo starts anew.
+MEMO, MEMO_LETTERS = 250_000, 48
 
 #: Byte symbols merged in one go.
 MERGE_BYTES = 1 << 20
@@ -126,7 +126,8 @@ class TokenCounter:
         parts = self.split.split(text)
         return [p for part in parts for p in self.pattern.findall(part)], len(parts) - 1
 
-    def _learn(self, new: list[str]) -> None:
+    def _learn(self, new: list[str]) -> dict[str, int]:
+        """The counts of chunks, of which the memo keeps the short ones."""
         flat: list[bytes] = []
         ends, specials = [], []
         for c in new:
@@ -149,7 +150,9 @@ class TokenCounter:
             total[begun + 1 :] = self.merger.counts(flat[begun:])
         total = np.cumsum(total)[ends]
         counts = np.diff(total, prepend=0) + np.array(specials, dtype=np.int64)
-        self.memo.update(zip(new, counts.tolist(), strict=True))
+        found = dict(zip(new, counts.tolist(), strict=True))
+        self.memo.update((c, n) for c, n in found.items() if len(c) <= MEMO_LETTERS)
+        return found
 
     def count(self, batch: list[str]) -> list[int]:
         """A chunk is a run of white space and what follows it up to the next white space; see the module's text."""
@@ -157,10 +160,9 @@ class TokenCounter:
             self.memo.clear()
         cut = [self.cut(t) for t in batch]
         new = {c for p in cut for c in p if c not in self.memo}
-        if new:
-            self._learn(list(new))
-        get = self.memo.__getitem__
-        return [sum(map(get, p)) for p in cut]
+        long = {c: n for c, n in self._learn(list(new)).items() if len(c) > MEMO_LETTERS} if new else {}
+        memo = self.memo
+        return [sum([long[c] if len(c) > MEMO_LETTERS else memo[c] for c in p]) for p in cut]
 
     @staticmethod
     def cut(text: str) -> list[str]:
