@@ -5,9 +5,9 @@ text). The prefix is rendered once, as the prompt; what follows is rendered as t
 an array of (chars, train) runs over its text, where only the content of assistant turns is trained on.
 
 A turn is rendered as its role's header line, its text and a line break. Turns are ordered by number, role and text,
-so repeated or unnumbered turns have a place (nulls first); a null role is `unknown`, a null text is empty, rows of a
-null conversation id are one conversation. A conversation is one row of the result, so it must fit in memory; nothing
-else is gathered. A pair without a second conversation has null for it and no common turns. An empty table gives no
+so repeated or unnumbered turns have a place (nulls first); a null role is `unknown`, a null text is empty, a text of any
+length is rendered whole, rows of a null conversation id are one conversation. A conversation is one row of the result,
+so it must fit in memory; nothing else is gathered. A pair without a second conversation has null for it and no common turns. An empty table gives no
 rows; other columns are not looked at.
 """
 
@@ -135,9 +135,22 @@ WITH turns AS (
 shown AS (
   SELECT *, '<|' || role || '|>' || chr(10) AS head FROM turns),
 openings AS (
-  SELECT conv_id, row_number() OVER (ORDER BY md5(head || text), conv_id) - 1 AS place FROM shown WHERE i = 1),
+  SELECT conv_id, row_number() OVER (ORDER BY md5(head || text), conv_id NULLS FIRST) - 1 AS place,
+         row_number() OVER (PARTITION BY md5(head || text) ORDER BY conv_id NULLS FIRST) - 1 AS at_opening,
+         count(*) OVER (PARTITION BY md5(head || text)) AS n
+  FROM shown WHERE i = 1),
+odd_ones AS (
+  SELECT *, CAST(n % 2 = 1 AND at_opening = n - 1 AS BIGINT) AS odd FROM openings),
+counted AS (
+  SELECT *, CAST(coalesce(sum(odd) OVER (ORDER BY place ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS odd_before,
+         CAST(sum(odd) OVER () AS BIGINT) AS odd_all
+  FROM odd_ones),
+places AS (
+  SELECT conv_id, CASE WHEN odd = 1 THEN odd_before // 2 ELSE (odd_all + 1) // 2 + (place - odd_before) // 2 END AS pair_id,
+         CASE WHEN odd = 1 THEN odd_before % 2 ELSE at_opening % 2 END AS side
+  FROM counted),
 sided AS (
-  SELECT place // 2 AS pair_id, place % 2 AS side, s.* FROM shown s JOIN openings o ON s.conv_id IS NOT DISTINCT FROM o.conv_id),
+  SELECT pair_id, side, s.* FROM shown s JOIN places p ON s.conv_id IS NOT DISTINCT FROM p.conv_id),
 pairs AS (
   SELECT pair_id, max(CASE WHEN side = 0 THEN conv_id END) AS chosen_id, max(CASE WHEN side = 1 THEN conv_id END) AS rejected_id,
          least(count(*) FILTER (side = 0), count(*) FILTER (side = 1)) AS shorter, count(*) FILTER (side = 1) AS others
