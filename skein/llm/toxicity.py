@@ -253,7 +253,7 @@ def gram_counter(order: int):
     return run
 
 
-def fit(df: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", order: int = 8, discount: float = 0.75, weight: float = 100.0, passage: int = 3, max_rows: int = 6000) -> ToxicityModel:
+def fit(df: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", order: int = 8, discount: float = 0.75, weight: float = 100.0, passage: int = 3, max_rows: int = 4000) -> ToxicityModel:
     """Class models from the labelled rows of `labels` (id_col, label_col in 0, 1).
 
     The curve is fitted on a quarter of the rows, scored by models of the others; the models that are kept are of all.
