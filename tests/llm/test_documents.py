@@ -1,6 +1,9 @@
 import hashlib
 import random
+import re
 
+import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
@@ -9,19 +12,43 @@ from tests.conftest import DATA
 from tests.llm.conftest import ODD
 
 
-def test_edited_texts_and_sketches(spark, documents):
+M64 = 2**64 - 1
+
+
+def xx64(numbers, seed):
+    """Spark's xxhash64 of longs, one after the other."""
+    for x in numbers:
+        seed = xxhash.xxh64_intdigest((x & M64).to_bytes(8, "little"), seed)
+    return seed
+
+
+def plain_sketch(text, size=5, fraction=0.25):
+    """The hashes of a text's shingles below the fraction, and the least, as unsigned numbers."""
+    words = [xxhash.xxh64_intdigest(w.encode(), 42) for w in re.split("[\x20\x09-\x0d]+", (text or "").lower()) if w]
+    runs = [words[i : i + size] for i in range(len(words) - size + 1)] if len(words) >= size else [words] * bool(words)
+    hashes = {xx64(r, 42) for r in runs}
+    return {h for h in hashes if h < fraction * 2**64 or h == min(hashes)}
+
+
+def plain_likeness(a, b):
+    least = min(len(a), len(b))
+    return len(a & b) / least if least else float(len(a) == len(b))
+
+
+def test_query_equals_a_plain_version(spark, documents):
+    """Edited texts, fingerprints and both likenesses of every row."""
     rows = sorted(((r.doc_id, r.text) for r in documents.collect()), reverse=True)
     got = {r.doc_id: r for r in sketches.op10_fingerprints(spark, DATA).collect()}
-    same = {}
+    written = lambda s: "".join(f"{h:016x}" for h in sorted(s))
+    assert len(got) == len(rows)
     for k, (i, t) in enumerate(rows):
-        n = len(t) // 3
-        want = t[: len(t) - n] + rows[(k + 1) % len(rows)][1][:n]
-        g = got[i]
+        n, after = len(t) // 3, rows[(k + 1) % len(rows)][1]
+        want = t[: len(t) - n] + after[:n]
+        g, own, edited = got[i], plain_sketch(t), plain_sketch(want)
         assert (g.n_chars, g.edited_sha256) == (len(t), hashlib.sha256(want.encode()).hexdigest())
-        assert 0 <= g.near_edited <= 1 and 0 <= g.near_next <= 1
-        assert same.setdefault(t, g.fingerprint) == g.fingerprint
-        if len(t) > 2000 and rows[(k + 1) % len(rows)][1] != t:
-            assert g.near_edited > 0.35 > g.near_next
+        assert (g.fingerprint, g.edited_fingerprint) == (written(own), written(edited))
+        assert g.near_edited == pytest.approx(plain_likeness(own, edited))
+        assert g.near_next == pytest.approx(plain_likeness(own, plain_sketch(after)))
 
 
 def test_sketch_of_odd_rows(odd, empty):
@@ -57,6 +84,60 @@ def test_alignment_is_increasing_and_finds_notices():
     assert license_scan.increasing([3, 1, 2, 5, 4]) in ([1, 2, 4], [1, 2, 3])
 
 
+def plain_spans(scanner, text):
+    """Every window of every notice, aligned without any bound before it."""
+    words, out = license_scan.words_of(text), set()
+    for k, (name, i, notice) in enumerate(scanner.notices):
+        for start in range(0, len(words), max(1, len(notice) // 4)):
+            pairs = license_scan.align(words[start : start + 2 * len(notice)], notice)
+            if pairs and len(pairs) >= scanner.need[k]:
+                out.add((name, len(pairs) / len(notice), i, start + pairs[0][0], start + pairs[-1][0] + 1))
+    return out
+
+
+def test_scanner_equals_a_plain_one():
+    """Notices with words taken out, put in and repeated, among words of theirs and others, at any place."""
+    r = random.Random(21)
+    scanner = license_scan.Scanner(license_scan.NOTICES, 0.85, 0.7)
+    pool = sorted(scanner.vocabulary)
+    hits = 0
+    for n in range(80):
+        words = []
+        for _ in range(r.randrange(1, 4)):
+            words += [r.choice(pool) if r.random() < 0.5 else f"w{r.randrange(50)}" for _ in range(r.randrange(0, 60))]
+            notice = r.choice(scanner.notices)[2]
+            some = [w for w in notice if r.random() > 0.05 * (n % 5)]
+            for _ in range(len(some) * (n % 4) // 12):
+                some.insert(r.randrange(len(some)), r.choice(pool))
+            words += some
+        text = " ".join(words)
+        found = set(scanner.spans(text))
+        assert found == plain_spans(scanner, text)
+        best = scanner.scan(text)
+        held = sorted((f[3], f[4]) for f in best)
+        assert set(best) <= found and len({f[0] for f in best}) == len(best)
+        assert all(a[1] <= b[0] for a, b in zip(held, held[1:], strict=False))
+        hits += bool(found)
+    assert hits > 50
+
+
+def test_notices_at_every_offset_and_beside_better_ones():
+    """Foreign words in a notice's middle and its place in the text decide nothing; a license that lost one span keeps another."""
+    scanner = license_scan.Scanner(license_scan.NOTICES, 0.85, 0.7)
+    notice = license_scan.NOTICES["GPL-3.0"][1].split()
+    for offset in range(0, 90, 7):
+        text = ["x"] * offset + notice[:30] + ["y"] * 14 + notice[30:] + ["z"] * 50
+        assert [f[0] for f in scanner.scan(" ".join(text))] == ["GPL-3.0"], offset
+    cc = "Licensed under CC BY-NC 4.0. " + "word " * 40 + "Licensed under CC BY 4.0."
+    assert {f[0] for f in scanner.scan(cc)} == {"CC-BY-NC-4.0", "CC-BY-4.0"}
+    for name, notices in license_scan.NOTICES.items():
+        for notice in notices:
+            words = notice.split()
+            assert [f[0] for f in scanner.scan(" ".join(words))] == [name]
+            if len(words) >= license_scan.LONG:
+                assert [f[0] for f in scanner.scan(" ".join(words[:9] + words[10:]))] == [name]
+
+
 def test_licenses(spark, odd, empty):
     noise = "thing and other words " * 60
     cases = {
@@ -72,11 +153,26 @@ def test_licenses(spark, odd, empty):
     for row in license_scan.scan_licenses(df).collect():
         found.setdefault(row.doc_id, set()).add(row.license)
         words = license_scan.words_of(cases[row.doc_id][0])[row.first_word : row.end_word]
-        assert row.coverage >= 0.85 and words[0] in license_scan.words_of(license_scan.NOTICES[row.license][row.notice])
+        assert row.coverage >= 0.7 and words[0] in license_scan.words_of(license_scan.NOTICES[row.license][row.notice])
     assert found == {i: s for i, (_, s) in cases.items() if s}
     assert license_scan.scan_licenses(odd).count() == 0 and license_scan.scan_licenses(empty).count() == 0
 
 
+def test_license_query_has_no_false_finds(spark, documents):
+    """Each find's words, against the notice: nothing that is not the notice, but for the share that may be missing."""
+    texts = {r.doc_id: license_scan.words_of(r.text) for r in documents.collect()}
+    found = license_scan.op8_license_scan(spark, DATA).collect()
+    assert found
+    for r in found:
+        notice = license_scan.words_of(license_scan.NOTICES[r.license][r.notice])
+        assert len(license_scan.align(texts[r.doc_id][r.first_word : r.end_word], notice)) >= 0.7 * len(notice)
+    scanner = license_scan.Scanner(license_scan.NOTICES, 0.85, 0.7)
+    for i, words in texts.items():
+        if len(words) < 400:
+            want = {f[0] for f in plain_spans(scanner, " ".join(words))}
+            assert {r.license for r in found if r.doc_id == i} <= want and bool(want) == any(r.doc_id == i for r in found)
+
+
 def test_license_query_against_plain_search(spark, documents):
     found = {(r.doc_id, r.license) for r in license_scan.op8_license_scan(spark, DATA).collect()}
     plain = {(r.doc_id, name) for r in documents.collect() for name, ts in license_scan.NOTICES.items() for t in ts if t in r.text}
@@ -97,14 +193,34 @@ def test_preferences(spark):
     assert chat.preferences(chat.pair_up(chat.turns_of(df.filter("false")))).count() == 0
 
 
-def test_preferences_against_sql(spark):
+def sql_rows(df, conversations):
+    """The query's SQL over a table, and the query's rows in its columns' order."""
     import duckdb
 
     con = duckdb.connect()
-    con.execute(f"CREATE VIEW conversations AS SELECT * FROM '{DATA}/conversations.parquet'")
+    con.register("conversations", conversations)
     rel = con.sql(chat.OP1_SQL)
-    df = entry.queries()["op1_chat_preferences"](spark, DATA)
-    assert sorted(map(tuple, df.select(*rel.columns).collect())) == sorted(rel.fetchall())
+    return sorted(map(tuple, df.select(*rel.columns).collect()), key=repr), sorted(rel.fetchall(), key=repr)
+
+
+def test_preferences_against_sql(spark):
+    got, want = sql_rows(entry.queries()["op1_chat_preferences"](spark, DATA), spark.read.parquet(f"{DATA}/conversations.parquet").toArrow())
+    assert got == want
+
+
+def test_preferences_of_odd_rows_against_sql(spark, tmp_path):
+    """Equal openings in groups of every size, null ids, roles, texts and numbers, repeated turns, ties, a long text, columns that clash."""
+    r = random.Random(11)
+    rows = []
+    for c in range(60):
+        n = r.randrange(1, 5)
+        rows += [(c, k, r.choice(["user", "assistant", None]), r.choice(["hi", "yes", "no", None, ""])) for k in range(n)]
+    rows += [(None, 0, "user", "hi"), (None, 1, "assistant", "yes"), (None, 1, "assistant", "yes"), (70, None, "user", "hi"), (70, None, "user", "ho")]
+    rows += [(71, 0, "user", "hi"), (71, 0, "user", "hi"), (72, 0, "user", "long " * 50_000), (73, 0, "user", "long " * 50_000 + "more")]
+    df = spark.createDataFrame([(*x, 1, 2) for x in rows], "conv_id long, turn long, role string, text string, side int, pair_id int")
+    df.repartition(3).write.parquet(f"{tmp_path}/conversations.parquet")
+    got, want = sql_rows(chat.op1_chat_preferences(spark, str(tmp_path)), df.select("conv_id", "turn", "role", "text").toArrow())
+    assert got == want and len(got) > 25
 
 
 def test_all_that_open_alike_are_paired(spark):

@@ -1,13 +1,16 @@
+import functools
 import math
 import random
 import zlib
 from collections import Counter
+from pathlib import Path
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from skein.llm import language_id, lm_scoring, toxicity
+from skein.llm.common import shared_dir
 from tests.conftest import DATA
 from tests.llm.conftest import ODD
 
@@ -59,6 +62,7 @@ def plain_toxicity(words, order, discount, weight):
         levels[k] = Counter(g[1:] for g in levels[k + 1])
     uniform = 1 / (len({g[-1] for g in both}) + 1)
 
+    @functools.cache
     def shared(g):
         k = len(g)
         if not k:
@@ -69,6 +73,7 @@ def plain_toxicity(words, order, discount, weight):
         total = sum(own.values())
         return max(levels[k][g] - discount, 0) / total + discount * len(own) / total * shared(g[1:])
 
+    @functools.cache
     def log_p(g, y):
         own = {h: n for h, n in grams[y].items() if h[:-1] == g[:-1]}
         total, kept = sum(own.values()), sum(max(n - discount, 0) for n in own.values())
@@ -236,27 +241,43 @@ def test_lm_query_against_plain_model(spark, documents):
         assert (g.held_out, g.n_tokens, g.n_known, g.train_tokens) == (held(r.doc_id, 7) == 2, len(w), sum(x in counts for x in w), n)
         assert g.base_score == pytest.approx(sum(math.log10((counts[x] + 1) / (n + v + 1)) for x in w), rel=1e-9)
         assert g.score == pytest.approx(sum(math.log10(p(a, b)) for a, b in zip([b"<begin>", *w[:-1]], w, strict=True)), rel=1e-9)
+        assert g.perplexity == pytest.approx(10 ** (-g.score / len(w)), rel=1e-9)
+    assert not list(Path(shared_dir(spark).removeprefix("file://")).glob("kneser-ney-*"))
     unseen = [g for g in got.values() if g.held_out]
     assert sum(g.score for g in unseen) > sum(g.base_score for g in unseen)
     for u in list(vocabulary)[:5] + [b"<begin>", b"never seen"]:
         assert sum(p(u, x) for x in vocabulary) + p(u, b"another") == pytest.approx(1, abs=1e-9)
 
 
-def test_lm_of_odd_rows(odd, empty):
+def test_lm_of_odd_rows(odd, empty, monkeypatch):
     model = lm_scoring.train(odd)
     found = lm_scoring.scored(odd, model).collect()
     assert len(found) == len(ODD)
     p, _ = plain_model([t for _, t in ODD])
-    by = {r.doc_id: r.score for r in found}
+    by, by_row = {r.doc_id: r.score for r in found}, [r.score for r in found]
     for i, t in ODD:
         w = tokens(t)
         assert by[i] == pytest.approx(sum(math.log10(p(a, b)) for a, b in zip([b"<begin>", *w[:-1]], w, strict=True)), rel=1e-9)
     model.delete()
+    monkeypatch.setattr(lm_scoring, "MAPS", 2)
+    again = lm_scoring.train(odd)
+    assert sorted(r.score for r in lm_scoring.scored(odd, again).collect()) == pytest.approx(sorted(by_row))
+    again.delete()
     none = lm_scoring.train(empty)
     assert {r.score for r in lm_scoring.scored(odd, none).collect()} == {0.0}
     assert lm_scoring.scored(empty, none).count() == 0
 
 
+def test_a_failing_score_leaves_no_files(spark, monkeypatch):
+    def fail(*_, **__):
+        raise RuntimeError("stopped")
+
+    monkeypatch.setattr(lm_scoring, "scored", fail)
+    with pytest.raises(RuntimeError, match="stopped"):
+        lm_scoring.op9_lm_scoring(spark, DATA)
+    assert not list(Path(shared_dir(spark).removeprefix("file://")).glob("kneser-ney-*"))
+
+
 def test_packed_arrays():
     arrays = [np.array([], dtype=np.uint64), np.array([1, 255]), np.array([256]), np.array([2**63], dtype=np.uint64), np.array([70000] * 3)]
     for a, b in zip(arrays, lm_scoring.unpack(lm_scoring.pack(*arrays)), strict=True):

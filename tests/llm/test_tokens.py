@@ -38,6 +38,9 @@ def test_long_pretokens_and_small_memos():
     assert COUNTER.count(long) == [len(ids(t)) for t in long]
     assert ENCODER.encode([f"x {t} y" for t in long]) == [np.array(ids(f"x {t} y"), dtype="<u4").tobytes() for t in long]
     assert max(map(len, ENCODER.memo)) <= 48
+    han = ["".join(chr(0x4E00 + r.randrange(5000)) for _ in range(3000)) for _ in range(4)]
+    assert COUNTER.count(han) == [len(ids(t)) for t in han]
+    assert max(map(len, COUNTER.memo)) <= 48
     small = token_counts.TokenCounter(PATH, memo=2)
     texts = ["one two three", "three four", "one five"] * 3
     assert [small.count([t])[0] for t in texts] == [len(ids(t)) for t in texts]
