@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Column
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from skein.functions.inet import INET, once, to_inet_sql
@@ -97,6 +99,22 @@ def scalar_sql(s: str, log_type: str, inet: bool) -> str:
     return s
 
 
+def interval_text_sql(d: str) -> str:
+    """SQL for an interval's usual text: whole days, then hours, minutes, seconds and what there is of a fraction."""
+    days = "CASE WHEN abs(p.days) = 1 THEN concat(p.days, ' day') WHEN p.days <> 0 THEN concat(p.days, ' days') END"
+    two = lambda x: f"lpad({x}, 2, '0')"
+    fraction = "CASE WHEN p.us % 1000000 <> 0 THEN concat('.', rtrim('0', lpad(p.us % 1000000, 6, '0'))) END"
+    clock = f"concat({two('p.us DIV 3600000000')}, ':', {two('p.us DIV 60000000 % 60')}, ':', {two('p.us DIV 1000000 % 60')}, coalesce({fraction}, ''))"
+    time = f"CASE WHEN p.us <> 0 OR p.days = 0 THEN concat(CASE WHEN p.minus THEN '-' ELSE '' END, {clock}) END"
+    whole = once(f"CAST(extract(HOUR FROM {d}) * 3600000000L + extract(MINUTE FROM {d}) * 60000000L + extract(SECOND FROM {d}) * 1000000 AS BIGINT)", "u", f"named_struct('days', CAST(extract(DAY FROM {d}) AS BIGINT), 'us', abs(u), 'minus', u < 0)")
+    return f"CASE WHEN {d} IS NOT NULL THEN {once(whole, 'p', f'concat_ws(chr(32), {days}, {time})')} END"
+
+
+def interval_text(duration: str) -> Column:
+    """The text of an interval; `duration` is a SQL expression, such as a column's name."""
+    return F.expr(interval_text_sql(f"({duration})"))
+
+
 def field_sql(s: str, log_type: str, header: LogHeader, inet: bool = True) -> str:
     """SQL for a raw field: null if absent or a marker, else its value. The raw text is taken out of its line once."""
     markers = f"{quoted(header.unset)}, {quoted(header.empty)}"

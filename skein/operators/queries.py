@@ -15,9 +15,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skein.functions import inet
+from skein.functions.types import interval_text
 from skein.plans.reader import read_log
-from skein.sources.header import LogHeader
-from skein.sources.writer import write_log, write_zstd
+from skein.sources.header import LogError, LogHeader
+from skein.sources.writer import put, write_log, write_zstd
 from skein.sql import sql
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -144,7 +145,7 @@ over_events("is_null_expression", "SELECT note IS NULL AS missing, count(*) AS n
 over_events("inet_eq", "SELECT CAST(id AS BIGINT) AS id FROM log WHERE id_orig_h = '10.0.0.7'::inet", f"SELECT id FROM {LOG} WHERE host = '10.0.0.7'")
 over_events("inet_contained_by", "SELECT CAST(id AS BIGINT) AS id FROM log WHERE id_orig_h <<= '10.0.0.8/29'::inet", "SELECT event_id AS id FROM events WHERE user_id % 65536 BETWEEN 8 AND 15 AND user_id // 65536 % 256 = 0")
 over_events("inet_group", "SELECT inet_text(id_orig_h) AS host, count(*) AS n FROM log GROUP BY id_orig_h", f"SELECT host, count(*) AS n FROM {LOG} GROUP BY host")
-over_events("describe", "SELECT count(*) AS n FROM (DESCRIBE SELECT * FROM log)", "SELECT CAST(10 AS BIGINT) AS n")
+over_events("describe", "SELECT column_name AS name FROM (DESCRIBE SELECT * FROM log)", "SELECT unnest(['ts', 'id', 'id_orig_p', 'kind', 'value', 'dur', 'ok', 'note', 'id_orig_h', 'props']) AS name")
 over_events("typeof", "SELECT DISTINCT typeof(ts) AS t, typeof(id) AS c, typeof(dur) AS d, typeof(id_orig_p) AS p, typeof(ok) AS b FROM log", "SELECT 'timestamp' AS t, 'decimal(20,0)' AS c, 'interval day to second' AS d, 'int' AS p, 'boolean' AS b")
 over_events("window_rank", "SELECT CAST(id AS BIGINT) AS id, row_number() OVER (PARTITION BY kind ORDER BY value DESC, id) AS place FROM log", f"SELECT id, row_number() OVER (PARTITION BY kind ORDER BY value DESC, id) AS place FROM {LOG}")
 over_events("rollup", "SELECT kind, ok, count(*) AS n FROM log GROUP BY ROLLUP (kind, ok)", f"SELECT kind, ok, count(*) AS n FROM {LOG} GROUP BY ROLLUP (kind, ok)")
@@ -174,12 +175,12 @@ def lenient_int(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_log(spark, f"{at}/part-*")
 
 
-@registered("list_double", "SELECT vec_id AS id, CAST(len(embedding) AS INTEGER) AS n, CAST(embedding[1] AS DOUBLE) AS first FROM embeddings")
+@registered("list_double", "SELECT vec_id AS id, CAST(i - 1 AS INTEGER) AS at, CAST(embedding[i] AS DOUBLE) AS x FROM (SELECT vec_id, embedding, unnest(range(1, len(embedding) + 1)) AS i FROM embeddings)")
 def list_double(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = spark.read.parquet(f"{sf_dir}/embeddings.parquet").selectExpr("string(vec_id) AS a", "array_join(transform(embedding, x -> string(double(x))), ',') AS b")
     at = folder(spark, "lists")
     write_log(rows, at, LogHeader(fields=("id", "v"), types=("int", "vector[double]")))
-    return read_log(spark, f"{at}/part-*").select("id", F.size("v").alias("n"), F.col("v")[0].alias("first"))
+    return read_log(spark, f"{at}/part-*").select("id", F.posexplode("v").alias("at", "x"))
 
 
 NATIONS = "SELECT n_regionkey AS region, string_agg(n_name, '|' ORDER BY n_name) AS names FROM nation GROUP BY n_regionkey"
@@ -210,13 +211,88 @@ def list_empty_is_null(spark: SparkSession, sf_dir: str) -> DataFrame:
     return got.select("region", F.col("names").isNull().alias("missing"))
 
 
-@registered("list_interval", "SELECT event_id AS id, CAST(trunc(value * 1000000) AS BIGINT) AS us FROM events")
+@registered("list_interval", "SELECT event_id AS id, CAST(trunc(value * 1000000) AS BIGINT) AS us, CAST(1500000 AS BIGINT) AS other, CAST(2 AS INTEGER) AS n FROM events")
 def list_interval(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = spark.read.parquet(f"{sf_dir}/events.parquet").selectExpr("string(event_id) AS a", "concat(value, ',', '1.5') AS b")
     at = folder(spark, "intervals")
     write_log(rows, at, LogHeader(fields=("id", "v"), types=("int", "vector[interval]")))
-    us = "CAST(extract(MINUTE FROM v[0]) * 60000000 + extract(SECOND FROM v[0]) * 1000000 AS BIGINT) AS us"
-    return read_log(spark, f"{at}/part-*").selectExpr("id", us)
+    us = "CAST(extract(MINUTE FROM v[{0}]) * 60000000 + extract(SECOND FROM v[{0}]) * 1000000 AS BIGINT) AS {1}"
+    return read_log(spark, f"{at}/part-*").selectExpr("id", us.format(0, "us"), us.format(1, "other"), "size(v) AS n")
+
+
+@registered("list_rendering", f"SELECT CAST(region AS BIGINT) AS region, '[' || replace(names, '|', ', ') || ']' AS names FROM ({NATIONS})")
+def list_rendering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    got = nations(spark, sf_dir, "array_join(sort_array(collect_list(n_name)), ',')")
+    return got.select("region", F.col("names").cast("string").alias("names"))
+
+
+LONG_US = "CAST(trunc(value * 1000 * 1000000) AS BIGINT)"
+
+
+@registered("interval_rendering", f"SELECT event_id AS id, CAST(to_days(CAST({LONG_US} // 86400000000 AS INTEGER)) + to_microseconds({LONG_US} % 86400000000) AS VARCHAR) AS dur FROM events")
+def interval_rendering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = spark.read.parquet(f"{sf_dir}/events.parquet").selectExpr("string(event_id) AS a", "string(value * 1000) AS b")
+    at = folder(spark, "durations")
+    write_log(rows, at, LogHeader(fields=("id", "dur"), types=("int", "interval")))
+    return read_log(spark, f"{at}/part-*").select("id", interval_text("dur").alias("dur"))
+
+
+def people_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The customers as a second log, with the address that a user of their number has in the events."""
+    host = EVENT_TEXT["id.orig_h"].replace("user_id", "c_custkey")
+    rows = spark.read.parquet(f"{sf_dir}/customer.parquet").selectExpr("string(c_custkey) AS a", f"{host} AS b", "string(c_nationkey) AS c")
+    at = folder(spark, "people")
+    write_log(rows, at, LogHeader(fields=("number", "addr", "nation"), types=("int", "addr", "count")))
+    return read_log(spark, f"{at}/part-*")
+
+
+PEOPLE = f"(SELECT c_nationkey AS nation, {'c_custkey'.join(HOST.split('user_id'))} AS addr FROM customer) people"
+
+
+def over_two_logs(name: str, text: str, oracle: str) -> None:
+    """A query that is SQL text over the views `log` and `people`."""
+
+    @registered(name, oracle)
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return sql(spark, text, log=events_log(spark, sf_dir), people=people_log(spark, sf_dir))
+
+
+over_two_logs("join_inner", "SELECT CAST(nation AS BIGINT) AS nation, kind, count(*) AS n FROM log JOIN people ON id_orig_h = addr GROUP BY 1, 2", f"SELECT CAST(nation AS BIGINT) AS nation, kind, count(*) AS n FROM {LOG} JOIN {PEOPLE} ON host = addr GROUP BY 1, 2")
+over_two_logs("join_left", "SELECT CAST(id AS BIGINT) AS id, CAST(nation AS BIGINT) AS nation FROM log LEFT JOIN people ON id_orig_h = addr", f"SELECT id, CAST(nation AS BIGINT) AS nation FROM {LOG} LEFT JOIN {PEOPLE} ON host = addr")
+over_two_logs("join_semi", "SELECT CAST(id AS BIGINT) AS id FROM log LEFT SEMI JOIN people ON id_orig_h = addr AND nation < 5", f"SELECT id FROM {LOG} SEMI JOIN (SELECT * FROM {PEOPLE} WHERE nation < 5) p ON host = p.addr")
+over_two_logs("join_anti", "SELECT CAST(id AS BIGINT) AS id FROM log LEFT ANTI JOIN people ON id_orig_h = addr AND nation < 5", f"SELECT id FROM {LOG} ANTI JOIN (SELECT * FROM {PEOPLE} WHERE nation < 5) p ON host = p.addr")
+over_events("join_range", "SELECT band, count(*) AS n FROM log JOIN (VALUES (1, 0, 20), (2, 20, 100), (3, 90, 500)) AS b(band, low, high) ON value >= low AND value < high GROUP BY band", f"SELECT band, count(*) AS n FROM {LOG} JOIN (VALUES (1, 0, 20), (2, 20, 100), (3, 90, 500)) AS b(band, low, high) ON value >= low AND value < high GROUP BY band")
+over_two_logs("intersect", "SELECT inet_text(id_orig_h) AS host FROM log WHERE value > 100 INTERSECT SELECT inet_text(addr) FROM people WHERE nation >= 10", f"SELECT host FROM {LOG} WHERE value > 100 INTERSECT SELECT addr FROM {PEOPLE} WHERE nation >= 10")
+over_two_logs("except", "SELECT inet_text(addr) AS host FROM people EXCEPT SELECT inet_text(id_orig_h) FROM log", f"SELECT addr AS host FROM {PEOPLE} EXCEPT SELECT host FROM {LOG}")
+over_events("cube", "SELECT kind, ok, count(*) AS n, max(value) AS high FROM log GROUP BY CUBE (kind, ok)", f"SELECT kind, ok, count(*) AS n, max(value) AS high FROM {LOG} GROUP BY CUBE (kind, ok)")
+over_events("grouping_sets", "SELECT kind, ok, count(*) AS n FROM log GROUP BY GROUPING SETS ((kind), (ok), ())", f"SELECT kind, ok, count(*) AS n FROM {LOG} GROUP BY GROUPING SETS ((kind), (ok), ())")
+
+
+#: What is asked of a folder with a good log, one that lacks #types, one of another layout and a false .gz, and the message's beginning.
+FAULTS = [
+    ("no file", "none*", {}, "No files found matching pattern"),
+    ("no header", "headless.log", {}, "missing #types"),
+    ("not gzip", "*.gz", {}, "Input is not a GZIP stream"),
+    ("nothing left", "*.gz", {"ignore_file_errors": True}, "No valid log files found in pattern"),
+    ("other layout", "layout-*.log", {}, "has a different schema than"),
+    ("other type", "layout-*.log", {"union_by_name": True}, "field 'n' has type"),
+]
+
+
+@registered("faults", " UNION ALL ".join(f"SELECT '{case}' AS fault, TRUE AS refused" for case, *_ in FAULTS))
+def faults(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whether each fault is refused with the message that says so."""
+    at = folder(spark, "faults")
+    for name, head, row in (("layout-a.log", "#fields\tn\n#types\tint\n", "1\n"), ("layout-b.log", "#fields\tn\n#types\tstring\n", "x\n"), ("headless.log", "#fields\tn\n", "1\n"), ("false.log.gz", "", "text\n")):
+        put(at, name, f"{head}{row}".encode())
+    out = []
+    for case, pattern, options, message in FAULTS:
+        try:
+            read_log(spark, f"{at}/{pattern}", **options)
+            out.append((case, False))
+        except LogError as e:
+            out.append((case, message in str(e)))
+    return spark.createDataFrame(out, "fault string, refused boolean")
 
 
 def four_files(spark: SparkSession, sf_dir: str) -> str:

@@ -70,12 +70,23 @@ def sql(spark: SparkSession, text: str, **views: DataFrame) -> DataFrame:
     inet.register(spark)
     for name, df in views.items():
         df.createOrReplaceTempView(name)
+    made: list[str] = []
+    try:
+        return spark.sql(rewritten(spark, text, made))
+    finally:
+        for view in made:  # the frame has been analysed; it does not need their names
+            spark.catalog.dropTempView(view)
+
+
+def rewritten(spark: SparkSession, text: str, made: list[str]) -> str:
+    """`text` in Spark's own SQL; the views that it names are added to `made`."""
     hidden = Hidden(text)
     body = hidden.text
     while m := CALL.search(body):
         end = closing(body, m.end())
         pattern, named = arguments(body[m.end() : end], hidden)
         view = f"__log_{next(_views)}"
+        made.append(view)
         read_log(spark, pattern, **named).createOrReplaceTempView(view)
         body = body[: m.start()] + view + body[end + 1 :]
     body = re.sub(rf"({OPERAND})\s*::\s*inet\b", r"to_inet(\1)", body, flags=re.I)
@@ -86,9 +97,27 @@ def sql(spark: SparkSession, text: str, **views: DataFrame) -> DataFrame:
     while m := re.search(r"\(\s*describe\s+", body, re.I):
         end = closing(body, m.end())
         view = f"__schema_{next(_views)}"
+        made.append(view)
         described(spark, hidden.shown(body[m.end() : end])).createOrReplaceTempView(view)
         body = body[: m.start()] + view + body[end + 1 :]
-    return spark.sql(hidden.shown(body))
+    return hidden.shown(body)
+
+
+def register(spark: SparkSession) -> None:
+    """What plain `spark.sql` needs: to_inet, inet_text and inet_contained_by as temporary functions (see log_view too).
+
+    A table function of Spark's own would be a Python UDTF: one task, one Python worker, every column parsed and nothing
+    pushed down. Logs are views in its place, which Catalyst plans as it does read_log's frames.
+    """
+    inet.register(spark)
+
+
+def log_view(spark: SparkSession, name: str, pattern: str, **parameters: bool) -> DataFrame:
+    """Logs as a temporary view of the session, for plain `spark.sql`; parameters as of read_log."""
+    register(spark)
+    df = read_log(spark, pattern, **parameters)
+    df.createOrReplaceTempView(name)
+    return df
 
 
 def described(spark: SparkSession, query: str) -> DataFrame:

@@ -1,7 +1,8 @@
 import pytest
 
+from skein.functions.types import interval_text
 from skein.sources.header import LogError
-from skein.sql import sql
+from skein.sql import log_view, sql
 from tests.conftest import rows
 
 
@@ -34,3 +35,19 @@ def test_quoted_names(spark, path):
 def test_unknown_parameters(spark, path, args):
     with pytest.raises(LogError, match="unknown parameter"):
         sql(spark, f"SELECT * FROM read_log('{path}', {args})")
+
+
+def test_views_for_plain_sql(spark, path):
+    before = {t.name for t in spark.catalog.listTables()}
+    log_view(spark, "hosts", path.replace("''", "'"), filename=True)
+    assert [int(r[0]) for r in spark.sql("SELECT n FROM hosts WHERE inet_contained_by(id_orig_h, to_inet('10.1.0.0/16'))").collect()] == [2]
+    assert rows(sql(spark, f"SELECT count(*) FROM read_log('{path}') a, (DESCRIBE SELECT * FROM hosts) b")) == [(8,)]
+    assert {t.name for t in spark.catalog.listTables()} - before == {"hosts"}
+    spark.catalog.dropTempView("hosts")
+
+
+def test_texts_of_intervals(spark):
+    given = ["0 00:00:00", "1 00:00:00", "2 03:04:05.5", "0 00:00:00.000001", "0 23:59:59.100", "-1 00:00:00", "-0 00:01:30"]
+    want = ["00:00:00", "1 day", "2 days 03:04:05.5", "00:00:00.000001", "23:59:59.1", "-1 day", "-00:01:30"]
+    got = [spark.sql(f"SELECT INTERVAL '{g}' DAY TO SECOND AS d").select(interval_text("d")).first()[0] for g in given]
+    assert got == want
