@@ -6,12 +6,14 @@ are one node from the start.
 
 First come SimHash's candidates: fingerprints of the sets, pigeonhole blocks and Hamming distance as in `simhash_dedup`.
 A radius that a block index can afford holds only the closest pairs, however: at a Jaccard of 0.8 fingerprints differ in
-some 10 of 64 bits, like those of many strangers. So a prefix search finds the rest, exactly: with the shingles of every
-set in one order, two sets of that similarity share a shingle among the first `n - ceil(similarity n) + 1` of each,
-whatever the order is. The order is by how often a shingle occurs in a sample of the texts, rare ones first, then by
-hash; the sample decides only how many candidates there are. Of a shingle's texts each is first compared with one, and
-only those still in different components, and of sizes that allow the similarity, are then compared with each other, so
-a large group of copies does not emit its pairs. All candidates, SimHash's too, are verified by their sets.
+some 10 of 64 bits, strangers' in some 32. So a prefix search brings together the rest: with the shingles of every set
+in one order, two sets of that similarity share a shingle among the first `n - ceil(similarity n) + 1` of each, whatever
+the order is. The order is by how often a shingle occurs in a sample of the texts, rare ones first, then by hash; the
+sample decides only how many candidates there are, and which shingles are dealt over several tasks. Of a shingle's texts
+each is first compared with one, and only those still in different components, and of sizes that allow the similarity,
+are then compared with each other, so a large group of copies does not emit its pairs. Candidates are verified by their
+fingerprints' Hamming distance, at most `reach` (a pair of that similarity is farther apart once in some 100,000 times),
+then by their sets, exactly; sets are made again from the few texts that come so far.
 
 Null text counts as empty; null and repeated ids keep a row each; a very long text is one set, whole; an empty table
 gives none; other columns are not looked at.
@@ -25,11 +27,11 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from skein.llm.common import chunks, cut, texts
-from skein.llm.components import components
+from skein.llm.components import Rounds, components
 from skein.llm.lm_scoring import Hasher, mix
 from skein.llm.native import bound, small_side
 from skein.llm.simhash_dedup import fingerprint, links
@@ -40,6 +42,9 @@ SAMPLE, COMMON = 5_000, 200_000
 #: Rows up to which a counted side is broadcast.
 BROADCAST_ROWS = 1_000_000
 
+#: Texts of one shingle above which its rows are dealt over several tasks.
+HOT = 50_000
+
 #: What a product of similarity and size may be off by.
 ROUNDING = 1e-9
 
@@ -120,14 +125,40 @@ def described(df: DataFrame, common: tuple[np.ndarray, np.ndarray], size: int, s
     return df.mapInArrow(run, f"doc_id {kind}, text_key long, node long, n int, fp long, s array<long>")
 
 
+def hot_shingles(spark: SparkSession, common: tuple[np.ndarray, np.ndarray], texts_of_all: int) -> DataFrame:
+    """(h, parts) of the sampled shingles that some `HOT` texts and more should have: their rows are dealt over parts."""
+    times = common[1] * (texts_of_all / SAMPLE)
+    hot = times > HOT
+    found = [(int(h), int(n // HOT) + 1) for h, n in zip(common[0][hot].tolist(), times[hot].tolist(), strict=True)]
+    return spark.createDataFrame(found, "h long, parts long")
+
+
+def shared_entries(tables: Rounds, rows: DataFrame, hot: DataFrame) -> DataFrame:
+    """(h, node, n, pos, fp, hub) of every first shingle that several nodes have, hub being one of these. A hot shingle's
+    nodes have a hub for each of its parts."""
+    of = rows.groupBy("node").agg(F.min("row").alias("row"), F.count("*").alias("of"))
+    again = rows.select("row", "node").join(of.filter("of > 1").select("node", F.col("row").alias("first")), "node").filter("row <> first").select("row")
+    again = cut(again)
+    once = rows.join(small_side(again, again.count(), BROADCAST_ROWS), "row", "left_anti")
+    entries = once.select("node", "n", "fp", F.posexplode("s").alias("pos", "h")).join(F.broadcast(hot), "h", "left")
+    own = Window.partitionBy("h", "part")
+    entries = entries.select("h", F.coalesce(F.pmod("node", "parts"), F.lit(0)).alias("part"), F.col("parts").isNotNull().alias("hot"), "node", "n", "pos", "fp")
+    entries = entries.withColumns({"of": F.count("*").over(own), "hub": F.min(F.struct("node", "n", "pos", "fp")).over(own)})
+    return tables.write(entries.filter("of > 1 OR hot").drop("of", "hot", "part"))[1]
+
+
+def near(a: Column, b: Column, reach: int) -> Column:
+    return F.bit_count(a.bitwiseXOR(b)) <= reach
+
+
 def close_pairs(rows: DataFrame, radius: int, blocks: int) -> DataFrame:
     """SimHash's candidates (a, b): nodes of one fingerprint as a star, and stars of fingerprints within the radius."""
     of = cut(rows.select("fp", "node").distinct())
     first = cut(of.groupBy("fp").agg(F.min("node").alias("first")))
     same = of.join(first, "fp").filter("node <> first").select(F.col("first").alias("a"), F.col("node").alias("b"))
     end = lambda c: first.select(F.col("fp").alias(c), F.col("first").alias(f"{c}_node"))
-    near = links(first.select("fp"), radius=radius, blocks=blocks).join(end("a"), "a").join(end("b"), "b")
-    return same.unionByName(near.select(F.col("a_node").alias("a"), F.col("b_node").alias("b")))
+    linked = links(first.select("fp"), radius=radius, blocks=blocks).join(end("a"), "a").join(end("b"), "b")
+    return same.unionByName(linked.select(F.col("a_node").alias("a"), F.col("b_node").alias("b")))
 
 
 def can_reach(a: Column, b: Column, similarity: float) -> Column:
@@ -136,13 +167,20 @@ def can_reach(a: Column, b: Column, similarity: float) -> Column:
     return most * (1 + similarity) >= similarity * (a.n + b.n) - ROUNDING
 
 
-def verified(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
-    """The pairs (a, b) of nodes whose `sets` (node, s) have the similarity."""
+def verified(tables: Rounds, pairs: DataFrame, rows: DataFrame, text: DataFrame, size: int, similarity: float) -> DataFrame:
+    """The `pairs` (a, b) of nodes whose sets, made of one text of each, have the similarity."""
+    nodes = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
+    keys = rows.select("node", "text_key").join(nodes, "node", "left_semi").groupBy("node").agg(F.min("text_key").alias("k"))
+    keys = cut(keys.select("k").distinct())
+    some = text.join(small_side(keys, keys.count(), BROADCAST_ROWS), F.col("text_key") == F.col("k"), "left_semi")
+    path, sets = tables.write(set_rows(some.select("t"), size).dropDuplicates(["node"]))
     left = sets.select(F.col("node").alias("a"), F.col("s").alias("x"))
     right = sets.select(F.col("node").alias("b"), F.col("s").alias("y"))
     both = F.size(F.array_intersect("x", "y"))
     ok = bound(both, lambda n: n * (1 + F.lit(similarity)) >= F.lit(similarity) * (F.size("x") + F.size("y")) - ROUNDING)
-    return pairs.join(left, "a").join(right, "b").filter(ok).select("a", "b")
+    found = cut(pairs.join(left, "a").join(right, "b").filter(ok).select("a", "b"))
+    tables.delete(path)
+    return found
 
 
 def size_band(n: Column, similarity: float) -> Column:
@@ -150,40 +188,35 @@ def size_band(n: Column, similarity: float) -> Column:
     return F.floor(F.log(n.cast("double")) / F.lit(-math.log(similarity)) + ROUNDING).cast("int")
 
 
-def unlinked_pairs(entries: DataFrame, labels: DataFrame, similarity: float) -> DataFrame:
+def unlinked_pairs(entries: DataFrame, labels: DataFrame, similarity: float, reach: int) -> DataFrame:
     """Pairs (a, b) of one shingle that are in different components and could reach the similarity."""
-    labelled = cut(entries.join(labels, "node", "left").select("node", "n", "pos", "h", F.coalesce("label", "node").alias("label")))
-    mixed = labelled.groupBy("h").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low < high").select("h")
-    open_ = cut(labelled.join(cut(mixed), "h").select("h", size_band(F.col("n"), similarity).alias("band"), F.struct("node", "n", "pos", "label").alias("e")))
+    labelled = entries.join(labels, "node", "left").select("node", "n", "pos", "fp", "h", F.coalesce("label", "node").alias("label"))
+    mixed = cut(labelled.groupBy("h").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low < high").select("h"))
+    open_ = cut(labelled.join(small_side(mixed, mixed.count(), BROADCAST_ROWS), "h").select("h", size_band(F.col("n"), similarity).alias("band"), F.struct("node", "n", "pos", "fp", "label").alias("e")))
     left = open_.select("h", F.col("band").alias("at"), "band", F.col("e").alias("p"))
     right = open_.select("h", F.explode(F.array(F.col("band"), F.col("band") - 1)).alias("at"), F.col("band").alias("own"), F.col("e").alias("q"))
     met = left.join(right, ["h", "at"]).filter((F.col("p.label") != F.col("q.label")) & ((F.col("band") < F.col("own")) | (F.col("p.node") < F.col("q.node"))))
-    met = met.filter(can_reach(F.col("p"), F.col("q"), similarity))
+    met = met.filter(near(F.col("p.fp"), F.col("q.fp"), reach) & can_reach(F.col("p"), F.col("q"), similarity))
     return met.select(F.least("p.node", "q.node").alias("a"), F.greatest("p.node", "q.node").alias("b")).distinct()
 
 
-def near_copies(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", size: int = 5, similarity: float = 0.8, radius: int = 4, blocks: int = 6) -> DataFrame:
+def near_copies(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", size: int = 5, similarity: float = 0.8, radius: int = 4, blocks: int = 6, reach: int = 22) -> DataFrame:
     """doc_id, text_key and copy_group (a number for each component of near copies) of every row."""
     text = df.select(F.col(id_col).alias("doc_id"), text_key(text_col).alias("text_key"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("t"))
-    rows = cut(described(text, common_shingles(text, size), size, similarity))
-
-    entries = rows.select("node", "n", "s").dropDuplicates(["node"]).select("node", "n", F.posexplode("s").alias("pos", "h"))
-    hubs = entries.groupBy("h").agg(F.count("*").alias("of"), F.min(F.struct("node", "n", "pos")).alias("hub")).filter("of > 1").drop("of")
-    entries = cut(entries.join(hubs, "h"))  # rows of a common shingle are dealt for this join alone, which can be split
-    reach = can_reach(F.struct("n", "pos"), F.col("hub"), similarity)
-    stars = entries.filter((F.col("node") != F.col("hub.node")) & reach).select(F.col("hub.node").alias("a"), F.col("node").alias("b"))
+    common = common_shingles(text, size)
+    tables = Rounds(df.sparkSession, "near-copies")
+    rows = tables.write(described(text, common, size, similarity).withColumn("row", F.monotonically_increasing_id()))[1]
+    entries = shared_entries(tables, rows, hot_shingles(df.sparkSession, common, rows.count()))
+    ok = near(F.col("fp"), F.col("hub.fp"), reach) & can_reach(F.struct("n", "pos"), F.col("hub"), similarity)
+    stars = entries.filter((F.col("node") != F.col("hub.node")) & ok).select(F.col("hub.node").alias("a"), F.col("node").alias("b"))
     first = stars.unionByName(close_pairs(rows, radius, blocks))
     first = cut(first.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
-
-    nodes = cut(entries.select("node").union(first.select("a")).union(first.select("b")).distinct())
-    keys = rows.select("node", "text_key").join(small_side(nodes, nodes.count(), BROADCAST_ROWS), "node", "left_semi").groupBy("node").agg(F.min("text_key").alias("k"))
-    keys = cut(keys.select("k").distinct())
-    some = text.select("t", "text_key").join(small_side(keys, keys.count(), BROADCAST_ROWS), F.col("text_key") == F.col("k"), "left_semi")
-    sets = cut(set_rows(some.dropDuplicates(["text_key"]).select("t"), size).dropDuplicates(["node"]))
-
-    edges = cut(verified(first, sets, similarity))
-    met = unlinked_pairs(entries.drop("hub"), components(edges), similarity)
+    text = text.select("text_key", "t")
+    edges = verified(tables, first, rows, text, size, similarity)
+    met = unlinked_pairs(entries.drop("hub"), components(edges), similarity, reach)
     met = cut(met.join(first, ["a", "b"], "left_anti"))
-    labels = components(edges.unionByName(verified(met, sets, similarity)))
+    labels = components(edges.unionByName(verified(tables, met, rows, text, size, similarity)))
     group = F.coalesce("label", "node").alias("copy_group")
-    return rows.select("doc_id", "text_key", "node").join(labels, "node", "left").select("doc_id", "text_key", group)
+    found = cut(rows.select("doc_id", "text_key", "node").join(labels, "node", "left").select("doc_id", "text_key", group))
+    tables.delete()
+    return found

@@ -41,7 +41,7 @@ START, END = 2, 3
 MEMO, MEMO_LETTERS = 150_000, 40
 
 #: Letters that are looked up in one go.
-LETTERS = 1 << 20
+LETTERS = 1 << 18
 
 
 def words_of(text: str) -> list[str]:

@@ -4,6 +4,7 @@ from collections import Counter
 from pyspark.sql import functions as F
 
 import corpus_pipeline
+from skein.llm import near_copies
 from tests.conftest import DATA
 from tests.llm.test_simhash import plain_contaminated, plain_labels
 from tests.llm.test_tokens import check_pieces
@@ -142,6 +143,23 @@ def test_near_copies_of_similarity_four_fifths(spark):
     assert len(near_dedup(spark, rows)) == len(rows) - gone
 
 
+def test_hot_shingles_are_dealt_and_miss_nothing(spark, monkeypatch):
+    """Hundreds of texts with shingles in common, some of them near copies, every common shingle dealt over parts."""
+    r = random.Random(4)
+    base = [f"w{r.randrange(10**6)}" for _ in range(80)]
+    rows = []
+    for k in range(160):
+        own = list(base[: r.choice([20, 60, 80])])
+        for at in r.sample(range(len(own)), r.choice([0, 1, 2])):
+            own[at] = f"x{r.randrange(3)}"
+        rows.append((k, " ".join(own + [f"y{r.randrange(4)}" for _ in range(r.choice([0, 3]))])))
+    want = len(plain_survivors(rows))
+    assert len(near_dedup(spark, rows)) == want
+    monkeypatch.setattr(near_copies, "HOT", 5)
+    monkeypatch.setattr(near_copies, "SAMPLE", 60)
+    assert len(near_dedup(spark, rows)) == want
+
+
 def test_rows_of_null_and_repeated_ids_keep_their_texts(spark):
     texts = [f"text number {k} of its own with words like {k * 7} and {k * 13} to tell it from the others" for k in range(6)]
     rows = [(None, texts[0]), (None, texts[1]), (None, texts[1]), (3, texts[2]), (3, texts[3]), (3, texts[3]), (4, texts[3]), (None, texts[4]), (9, texts[4]), (10, texts[5])]
