@@ -18,6 +18,27 @@ from skein.llm.token_counts import op4_token_counts
 from skein.llm.toxicity import op3_toxicity
 
 
+def text_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What SQL can check of op4: its bytes."""
+    return op4_token_counts(spark, sf_dir).select("doc_id", "n_bytes")
+
+
+def edited_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What SQL can check of op10: lengths and edited texts."""
+    return op10_fingerprints(spark, sf_dir).select("doc_id", "n_chars", "edited_sha256")
+
+
+TEXT_BYTES_SQL = "SELECT doc_id, strlen(coalesce(text, '')) AS n_bytes FROM documents"
+
+EDITED_SQL = """
+WITH rows AS (
+  SELECT doc_id, coalesce(text, '') AS text, length(coalesce(text, '')) AS n FROM documents),
+beside AS (
+  SELECT *, coalesce(lead(text) OVER (ORDER BY doc_id DESC), first(text) OVER (ORDER BY doc_id DESC)) AS after FROM rows)
+SELECT doc_id, n AS n_chars, sha256(substr(text, 1, n - n // 3) || substr(after, 1, n // 3)) AS edited_sha256 FROM beside
+"""
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_chat_preferences": op1_chat_preferences,
@@ -30,8 +51,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_license_scan": op8_license_scan,
         "op9_lm_scoring": op9_lm_scoring,
         "op10_fingerprints": op10_fingerprints,
+        "text_bytes": text_bytes,
+        "edited_texts": edited_texts,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_chat_preferences": OP1_SQL}
+    return {"op1_chat_preferences": OP1_SQL, "text_bytes": TEXT_BYTES_SQL, "edited_texts": EDITED_SQL}

@@ -233,3 +233,14 @@ def test_all_that_open_alike_are_paired(spark):
     assert sorted(i for r in got for i in (r.chosen_id, r.rejected_id) if i is not None) == sorted(opening)
     assert len({r.pair_id for r in got}) == len(got) and sum(r.rejected_id is None for r in got) == sum(sizes) % 2
     assert sum(r.n_common == 1 for r in got) == sum(n // 2 for n in sizes)
+
+
+@pytest.mark.parametrize("name", ["text_bytes", "edited_texts"])
+def test_queries_against_sql(spark, name):
+    import duckdb
+
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{DATA}/documents.parquet'")
+    rel = con.sql(entry.oracle_sql()[name])
+    df = entry.queries()[name](spark, DATA)
+    assert sorted(map(tuple, df.select(*rel.columns).collect())) == sorted(rel.fetchall())

@@ -195,12 +195,12 @@ def test_index_meets_what_is_within_the_radius(spark):
     assert all((1000 * k + d, k) in met for k in range(40) for d in range(18))
     assert sum(i != k // 1000 for k, i in met) < 0.12 * len(windows) * 39
     assert decontamination.candidates(w.filter("false"), index, 17, 4).count() == 0
-    for radius, blocks in ((0, 4), (3, 4), (5, 4), (2, 8)):
+    for radius, blocks in ((0, 4), (5, 8)):
         met = {(m.key, m.item_id) for m in decontamination.candidates(w, index, radius, blocks).select("key", "item_id").collect()}
         assert all((1000 * k + d, k) in met for k in range(40) for d in range(radius + 1))
 
 
-@pytest.mark.parametrize("n", [5, 8, 14, 20, 40, 90])
+@pytest.mark.parametrize("n", [8, 20, 60])
 def test_recall_of_edited_items(spark, n):
     """Items of n words with words changed here and there, in texts short and long: what brute force finds is found."""
     r = random.Random(n)
