@@ -45,6 +45,9 @@ def word_hash(word: bytes) -> int:
     return xxhash.xxh64_intdigest(word)
 
 
+#: Shards up to which each sends its statistics straight to the buckets of words.
+DIRECT = 128
+
 #: Files that one task has mapped at a time.
 MAPS = 8_192
 
@@ -177,8 +180,27 @@ def pair_counter(heavy: np.ndarray, shards: int):
 STATS = ["c", "t", "n1", "n2", "n3", "cont"]
 
 
-def shard_writer(files: SharedFiles, buckets_log: int):
-    """Writes a shard's file; gives its words' statistics by bucket, and how many pairs occur 1 to 4 times (bucket -1)."""
+def by_bucket(word: np.ndarray, stats: list[np.ndarray], log: int) -> tuple[list[int], list[bytes]]:
+    """Sorted words and their statistics, packed apart by the first `log` bits of the words."""
+    ids, at = np.unique((word >> np.uint64(64 - log)).astype(np.int64), return_index=True)
+    ends = [*at[1:].tolist(), len(word)]
+    return ids.tolist(), [pack(word[a:b], *(x[a:b] for x in stats)) for a, b in zip(at.tolist(), ends, strict=True)]
+
+
+def summed(packed: list[bytes]) -> tuple[np.ndarray, list[np.ndarray]]:
+    """The words of several packed parts, sorted, and the sums of their statistics."""
+    parts = [unpack(x) for x in packed]
+    word, at = np.unique(np.concatenate([p[0] for p in parts]), return_inverse=True)
+    sums = []
+    for k in range(1, len(STATS) + 1):
+        sums.append(np.zeros(len(word), dtype=np.int64))
+        np.add.at(sums[-1], at, np.concatenate([p[k] for p in parts]).astype(np.int64))
+    return word, sums
+
+
+def shard_writer(files: SharedFiles, log: int, block: int):
+    """Writes a shard's file; gives (bucket, block, stats): its words' statistics by the first `log` bits, and how many
+    pairs occur 1 to 4 times (bucket -1), with the number of the block of shards that it is of."""
 
     def run(group: pa.Table) -> pa.Table:
         shard = group.column("shard")[0].as_py()
@@ -199,13 +221,24 @@ def shard_writer(files: SharedFiles, buckets_log: int):
         word, where = np.unique(np.concatenate([first, second]), return_inverse=True)
         i, j = where[: len(first)], where[len(first) :]
         add = lambda k, x=None: np.bincount(k, weights=x, minlength=len(word)).astype(np.int64)
-        stats = [add(j, n), add(i, n), add(i[once]), add(i[n == 2]), add(i[n > 2]), add(j)]
-        bucket = (word >> np.uint64(64 - buckets_log)).astype(np.int64)
-        ids, at = np.unique(bucket, return_index=True)
-        ends = [*at[1:].tolist(), len(word)]
-        out = [pack(word[a:b], *(x[a:b] for x in stats)) for a, b in zip(at.tolist(), ends, strict=True)]
+        ids, out = by_bucket(word, [add(j, n), add(i, n), add(i[once]), add(i[n == 2]), add(i[n > 2]), add(j)], log)
         met = pack(np.array([int((n == k).sum()) for k in (1, 2, 3, 4)]))
-        return pa.Table.from_arrays([pa.array([-1, *ids.tolist()], pa.int64()), pa.array([met, *out], pa.binary())], names=["bucket", "stats"])
+        blocks = pa.array([shard // block] * (len(ids) + 1), pa.int64())
+        return pa.Table.from_arrays([pa.array([-1, *ids], pa.int64()), blocks, pa.array([met, *out], pa.binary())], names=["bucket", "block", "stats"])
+
+    return run
+
+
+def combiner(log: int):
+    """Adds up the statistics of a block of shards for the words of one wide bucket; gives them by `log` bits."""
+
+    def run(group: pa.Table) -> pa.Table:
+        packed = group.column("stats").to_pylist()
+        if group.column("bucket")[0].as_py() < 0:
+            ids, out = [-1], [pack(np.sum([unpack(x)[0].astype(np.int64) for x in packed], axis=0))]
+        else:
+            ids, out = by_bucket(*summed(packed), log)
+        return pa.Table.from_arrays([pa.array(ids, pa.int64()), pa.array([0] * len(ids), pa.int64()), pa.array(out, pa.binary())], names=["bucket", "block", "stats"])
 
     return run
 
@@ -214,17 +247,11 @@ def word_writer(files: SharedFiles):
     """Writes a bucket's words in order of their hashes; gives (kind, m): sums over its words, or of bucket -1."""
 
     def run(group: pa.Table) -> pa.Table:
-        bucket = group.column("bucket")[0].as_py()
-        parts = [unpack(x) for x in group.column("stats").to_pylist()]
+        bucket, packed = group.column("bucket")[0].as_py(), group.column("stats").to_pylist()
         if bucket < 0:
-            m = np.sum([p[0].astype(np.int64) for p in parts], axis=0).tolist()
+            m = np.sum([unpack(x)[0].astype(np.int64) for x in packed], axis=0).tolist()
         else:
-            word, at = np.unique(np.concatenate([p[0] for p in parts]), return_inverse=True)
-            rows = []
-            for k in range(1, 7):
-                sums = np.zeros(len(word), dtype=np.int64)
-                np.add.at(sums, at, np.concatenate([p[k] for p in parts]).astype(np.int64))
-                rows.append(sums)
+            word, rows = summed(packed)
             files.write(f"words-{bucket}", pack(word, *rows))
             cont = rows[-1]
             m = [int((cont == k).sum()) for k in (1, 2, 3, 4)] + [int((cont > 2).sum()), int(cont.sum()), int((rows[0] > 0).sum()), int(rows[0].sum())]
@@ -347,9 +374,14 @@ def train(df: DataFrame, *, text_col: str = "text") -> KneserNey:
     buckets_log = max(3, math.ceil(math.log2(shards)))
     files = SharedFiles.create(spark, "kneser-ney")
     counted = rows.mapInArrow(pair_counter(heavy, shards), "shard long, pairs binary").repartition(shards, "shard")
-    stats = counted.groupBy("shard").applyInArrow(shard_writer(files, buckets_log), "bucket long, stats binary")
-    stats = stats.repartition(1 << buckets_log, "bucket")
-    sums = stats.groupBy("bucket").applyInArrow(word_writer(files), "kind long, m array<long>")
+    schema = "bucket long, block long, stats binary"
+    # With many shards, blocks of them are added up for wide buckets first: rows then grow as shards ** 1.5, not their square.
+    two = shards > DIRECT
+    wide, block = (-(-buckets_log // 2), math.isqrt(shards)) if two else (buckets_log, shards)
+    stats = counted.groupBy("shard").applyInArrow(shard_writer(files, wide, block), schema)
+    if two:
+        stats = stats.repartition(shards, "bucket", "block").groupBy("bucket", "block").applyInArrow(combiner(buckets_log), schema)
+    sums = stats.repartition(1 << buckets_log, "bucket").groupBy("bucket").applyInArrow(word_writer(files), "kind long, m array<long>")
     each = [F.sum(F.get("m", F.lit(k))).alias(f"m{k}") for k in range(8)]
     sums = sums.groupBy("kind").agg(*each).select("kind", F.array(*[F.coalesce(f"m{k}", F.lit(0)) for k in range(8)]).alias("m")).collect()  # two rows
     release(spark)

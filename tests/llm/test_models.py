@@ -268,6 +268,19 @@ def test_lm_of_odd_rows(odd, empty, monkeypatch):
     assert lm_scoring.scored(empty, none).count() == 0
 
 
+def test_many_shards_add_up_to_the_same_model(spark, documents, monkeypatch):
+    some = documents.limit(60)
+    scores = []
+    for direct in (128, 2):
+        monkeypatch.setattr(lm_scoring, "DIRECT", direct)
+        monkeypatch.setattr(lm_scoring, "partitions_for", lambda *_: 20)
+        model = lm_scoring.train(some)
+        scores.append(sorted((r.doc_id, r.score, r.n_known) for r in lm_scoring.scored(some, model).collect()))
+        model.delete()
+    assert [(i, k) for i, _, k in scores[0]] == [(i, k) for i, _, k in scores[1]]
+    assert [x for _, x, _ in scores[0]] == pytest.approx([x for _, x, _ in scores[1]])
+
+
 def test_a_failing_score_leaves_no_files(spark, monkeypatch):
     def fail(*_, **__):
         raise RuntimeError("stopped")
