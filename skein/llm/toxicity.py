@@ -10,8 +10,9 @@ A word's evidence is the difference of its log-likelihoods under the two models.
 over the `passage` words that speak most for the toxic class, divided by their number, so it does not depend on how
 many ordinary words surround them (the mean over all words parts the classes far worse; the README has figures). The
 score maps the evidence to 0..1 through a logistic curve, fitted on a quarter of the labelled rows with models of the
-other three; the models that are kept are of all rows. Models and curve are fitted on at most `max_rows` labelled rows of each class (those of the least hashed
-ids), whole texts; that bounds what the driver gathers and workers are sent.
+other three, and set to the classes' shares among all labels; the models that are kept are of all rows. Models and curve
+are fitted on at most `max_rows` labelled rows of each class (those of the least hashed ids), whole texts; that bounds
+what the driver gathers and workers are sent.
 
 Null text counts as empty; a text without words has evidence 0; one of fewer words than `passage` is filled up with
 words of no evidence; a very long text is read whole, its words a batch at a time. Labels other than 0 and 1 and null
@@ -214,9 +215,14 @@ class ToxicityModel:
         return 1 / (1 + F.exp(-(F.lit(self.slope) * evidence + F.lit(self.intercept))))
 
 
+def labelled_ids(labels: DataFrame, id_col: str, label_col: str) -> DataFrame:
+    """(doc_id, y): the largest label of every id."""
+    return labels.groupBy(F.col(id_col).cast("long").alias("doc_id")).agg(F.max(label_col).cast("int").alias("y")).filter("doc_id is not null")
+
+
 def labelled_sample(df: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str, max_rows: int) -> DataFrame:
     """At most `max_rows` labelled rows of each class: (doc_id, text, y). Ids are chosen before texts are read."""
-    ids = labels.groupBy(F.col(id_col).cast("long").alias("doc_id")).agg(F.max(label_col).alias("y")).filter("doc_id is not null")
+    ids = labelled_ids(labels, id_col, label_col)
     key = F.xxhash64("doc_id")
     some = [ids.filter(F.col("y") == c).orderBy(key, "doc_id").limit(max_rows) for c in (0, 1)]
     chosen = cut(some[0].unionByName(some[1]))  # at most 2 * max_rows ids
@@ -272,6 +278,10 @@ def fit(df: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: s
     y, x = held.column(0).to_numpy(), held.column(1).to_numpy()
     if len(set(y.tolist())) == 2:
         model.slope, model.intercept = logistic(x, y.astype(float))
+        # The sample may hold one class whole and a part of the other; the curve is for the shares that the labels have.
+        taken = {r["y"]: r["count"] for r in sample.groupBy("y").count().collect()}
+        every = {r["y"]: r["count"] for r in labelled_ids(labels, id_col, label_col).groupBy("y").count().collect() if r["y"] in taken}
+        model.intercept += math.log(every[1] / every[0]) - math.log(taken[1] / taken[0])
     else:
         share = sample.agg(F.avg("y")).first()[0]
         share = 0.5 if share is None else min(max(share, 1e-6), 1 - 1e-6)
