@@ -97,7 +97,7 @@ def with_results(df: DataFrame, text_col: str, keep: list[str], fields: T.Struct
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         of = start()
-        for chunk in chunks(batches, 0):
+        for chunk in chunks(batches, 0, 4 << 20):
             arrays = [*chunk.columns[1:], *of(chunk.column(0).to_pylist())]
             yield pa.RecordBatch.from_arrays(arrays, names=[*chunk.schema.names[1:], *made.names])
 

@@ -70,7 +70,7 @@ def set_rows(df: DataFrame, size: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = Hasher()
-        for chunk in chunks(batches, chunk_col):
+        for chunk in chunks(batches, chunk_col, 4 << 20):
             sets = [shingle_set(hasher, t, size) for t in texts(chunk.column(chunk_col))]
             nodes = [xxhash.xxh64_intdigest(s.tobytes()) for s in sets]
             yield pa.RecordBatch.from_arrays([*chunk.columns[:-1], signed(nodes), lists(sets)], names=[*chunk.schema.names[:-1], "node", "s"])
@@ -105,7 +105,7 @@ def described(df: DataFrame, common: tuple[np.ndarray, np.ndarray], size: int, s
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher, (known, times) = Hasher(), sent.value
-        for chunk in chunks(batches, 2):
+        for chunk in chunks(batches, 2, 4 << 20):
             nodes, sizes, fps, firsts = [], [], [], []
             for t in texts(chunk.column(2)):
                 s = shingle_set(hasher, t, size)

@@ -41,8 +41,8 @@ START, END = 2, 3
 #: Words whose evidence one worker holds, and the longest of them; beyond it the memo starts anew.
 MEMO, MEMO_LETTERS = 150_000, 40
 
-#: Letters that are looked up in one go.
-LETTERS = 1 << 18
+#: Letters that are looked up in one go, and words whose grams are counted in one go.
+LETTERS, WORDS = 1 << 18, 1 << 15
 
 
 def words_of(text: str) -> list[str]:
@@ -166,6 +166,16 @@ class Scorer:
         return out
 
     def evidence(self, batch: list[str]) -> np.ndarray:
+        out, some, size = [], [], 0
+        for t in batch:
+            some.append(t)
+            size += len(t)
+            if size >= LETTERS:
+                out.append(self.some(some))
+                some, size = [], 0
+        return np.concatenate([*out, self.some(some)])
+
+    def some(self, batch: list[str]) -> np.ndarray:
         if len(self.memo) > self.limit:
             self.memo.clear()
         cut_up = [words_of(t) for t in batch]
@@ -234,6 +244,18 @@ def labelled_sample(df: DataFrame, labels: DataFrame, id_col: str, text_col: str
 COUNTS = ["toxic", "ordinary", "held_toxic", "held_ordinary"]
 
 
+def counted(every: list[str], words: list[Counter[str]], order: int) -> pa.RecordBatch:
+    """The grams of some words, with their COUNTS."""
+    symbols, at, word = spelt(every, order)
+    columns = [symbols[at - k] for k in range(order - 1, -1, -1)]
+    _, first, gram = np.unique(keys_of(columns), return_index=True, return_inverse=True)
+    rows = np.column_stack([c[first] for c in columns]).astype("<u4")
+    counts = [np.bincount(gram, np.array([c[w] for w in every])[word]).astype(np.int64) for c in words]
+    offsets = pa.py_buffer(np.arange(0, (len(rows) + 1) * 4 * order, 4 * order, dtype=np.int32))
+    grams = pa.BinaryArray.from_buffers(pa.binary(), len(rows), [None, offsets, pa.py_buffer(rows.tobytes())])
+    return pa.RecordBatch.from_arrays([grams, *map(pa.array, counts)], names=["gram", *COUNTS])
+
+
 def gram_counter(order: int):
     """A mapInArrow function from (text, y, held) to the grams of `order` symbols and their COUNTS."""
 
@@ -243,18 +265,8 @@ def gram_counter(order: int):
             for text, y, held in zip(texts(batch.column(0)), *(c.to_pylist() for c in batch.columns[1:]), strict=True):
                 words[2 * held + 1 - y].update(words_of(text))
         every = list(set().union(*words))
-        if not every:
-            return
-        symbols, at, word = spelt(every, order)
-        columns = [symbols[at - k] for k in range(order - 1, -1, -1)]
-        _, first, gram = np.unique(keys_of(columns), return_index=True, return_inverse=True)
-        rows = np.column_stack([c[first] for c in columns]).astype("<u4")
-        counts = [np.bincount(gram, np.array([c[w] for w in every])[word]).astype(np.int64) for c in words]
-        for i in range(0, len(rows), 50_000):
-            part = rows[i : i + 50_000]
-            offsets = pa.py_buffer(np.arange(0, (len(part) + 1) * 4 * order, 4 * order, dtype=np.int32))
-            grams = pa.BinaryArray.from_buffers(pa.binary(), len(part), [None, offsets, pa.py_buffer(part.tobytes())])
-            yield pa.RecordBatch.from_arrays([grams, *(pa.array(c[i : i + 50_000]) for c in counts)], names=["gram", *COUNTS])
+        for i in range(0, len(every), WORDS):
+            yield counted(every[i : i + WORDS], words, order)
 
     return run
 
