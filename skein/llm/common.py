@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import gc
 import os
 import shutil
@@ -69,6 +70,14 @@ def partitions_for(spark: SparkSession, n_bytes: int, per_partition: int = 32 <<
     return max(least, -(-int(n_bytes or 0) // per_partition))
 
 
+def give_back() -> None:
+    """Memory that this worker has freed goes back to the system: workers outlive tasks and stages."""
+    gc.collect()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc's
+    if trim is not None:
+        trim(0)
+
+
 def chunks(batches: Iterator[pa.RecordBatch], text_col: int, max_bytes: int = 8 << 20) -> Iterator[pa.RecordBatch]:
     """Arrow batches re-cut so the texts of one hold about `max_bytes` (a longer single text stays whole)."""
     for batch in batches:
@@ -79,6 +88,7 @@ def chunks(batches: Iterator[pa.RecordBatch], text_col: int, max_bytes: int = 8
         step = max(1, int(n * max_bytes / size)) if size > max_bytes else n
         for at in range(0, n, step):
             yield batch.slice(at, step)
+    give_back()
 
 
 def texts(column: pa.Array) -> list[str]:
