@@ -17,6 +17,18 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+#: Rows of one Arrow batch: texts are long, and a batch is held by the JVM, by Arrow and by the worker at once.
+BATCH_ROWS = 1_000
+
+
+def small_batches(df: DataFrame) -> DataFrame:
+    """`df`, its session set to Arrow batches of at most BATCH_ROWS rows (a smaller setting stays)."""
+    conf, key = df.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(conf.get(key)) <= BATCH_ROWS:
+        conf.set(key, str(BATCH_ROWS))
+    return df
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -111,7 +123,7 @@ def with_results(df: DataFrame, text_col: str, keep: list[str], fields: T.Struct
             arrays = [*chunk.columns[1:], *of(chunk.column(0).to_pylist())]
             yield pa.RecordBatch.from_arrays(arrays, names=[*chunk.schema.names[1:], *made.names])
 
-    return rows.mapInArrow(run, T.StructType([*rows.schema.fields[1:], *made.fields])).toDF(*keep, *fields.names)
+    return small_batches(rows).mapInArrow(run, T.StructType([*rows.schema.fields[1:], *made.fields])).toDF(*keep, *fields.names)
 
 
 class SharedFiles:

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from skein.llm.common import chunks, id_bucket, table, with_results
+from skein.llm.common import chunks, id_bucket, small_batches, table, with_results
 
 #: log2 of the number of hashed n-grams.
 LOG_BITS = 15
@@ -196,7 +196,7 @@ def fit(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", label_
                 packed.append(np.packbits(row).tobytes())
             yield pa.RecordBatch.from_arrays([chunk.column(1), pa.array(packed, pa.binary())], names=["label", "bits"])
 
-    found = chosen.mapInArrow(bits, "label string, bits binary").distinct().toArrow().to_pydict()
+    found = small_batches(chosen).mapInArrow(bits, "label string, bits binary").distinct().toArrow().to_pydict()
     if not found["label"]:
         return none
     order = sorted(range(len(found["label"])), key=lambda i: (found["bits"][i], found["label"][i]))

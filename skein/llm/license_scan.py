@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skein.llm.common import chunks, table, texts
+from skein.llm.common import chunks, small_batches, table, texts
 
 #: License names, their usual notices, and whole texts where these are short (public texts).
 NOTICES = {
@@ -243,7 +243,7 @@ def scan_licenses(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)], names=names)
 
     rows = df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return rows.mapInArrow(run, "doc_id long, license string, coverage double, notice long, first_word long, end_word long")
+    return small_batches(rows).mapInArrow(run, "doc_id long, license string, coverage double, notice long, first_word long, end_word long")
 
 
 def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skein.llm.common import SharedFiles, chunks, cut, id_bucket, partitions_for, release, table, texts
+from skein.llm.common import SharedFiles, chunks, cut, id_bucket, partitions_for, release, small_batches, table, texts
 from skein.llm.encoder import Memo
 
 #: Tokens counted together before their pairs are sent.
@@ -368,7 +368,7 @@ def place(keys: np.ndarray, q: np.ndarray) -> np.ndarray:
 def train(df: DataFrame, *, text_col: str = "text") -> KneserNey:
     """A model of every text of `df`; its files stay in the shared folder until delete()."""
     spark = df.sparkSession
-    rows = df.select(F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
+    rows = small_batches(df.select(F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text")))
     tokens, heavy = heavy_words(rows)
     shards = partitions_for(spark, tokens * 8, 24 << 20)
     buckets_log = max(3, math.ceil(math.log2(shards)))
@@ -406,7 +406,7 @@ def scored(df: DataFrame, model: KneserNey, *, id_col: str = "doc_id", text_col:
             mapped.close()
 
     rows = df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    found = rows.mapInArrow(run, "doc_id long, n_tokens long, n_known long, base_score double, score double")
+    found = small_batches(rows).mapInArrow(run, "doc_id long, n_tokens long, n_known long, base_score double, score double")
     return found.withColumn("perplexity", F.pow(F.lit(10.0), -F.col("score") / F.col("n_tokens")))  # n_tokens: 1 at least
 
 

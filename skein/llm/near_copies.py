@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from skein.llm.common import chunks, cut, texts
+from skein.llm.common import chunks, cut, small_batches, texts
 from skein.llm.components import Rounds, components
 from skein.llm.lm_scoring import Hasher, mix
 from skein.llm.native import bound, small_side
@@ -77,7 +77,7 @@ def set_rows(df: DataFrame, size: int) -> DataFrame:
 
     chunk_col = len(df.columns) - 1
     kept = [f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields[:-1]]
-    return df.mapInArrow(run, ", ".join([*kept, "node long", "s array<long>"]))
+    return small_batches(df).mapInArrow(run, ", ".join([*kept, "node long", "s array<long>"]))
 
 
 def signed(numbers: list[int]) -> pa.Array:
@@ -122,7 +122,7 @@ def described(df: DataFrame, common: tuple[np.ndarray, np.ndarray], size: int, s
             yield pa.RecordBatch.from_arrays(arrays, names=["doc_id", "text_key", "node", "n", "fp", "s"])
 
     kind = df.schema["doc_id"].dataType.simpleString()
-    return df.mapInArrow(run, f"doc_id {kind}, text_key long, node long, n int, fp long, s array<long>")
+    return small_batches(df).mapInArrow(run, f"doc_id {kind}, text_key long, node long, n int, fp long, s array<long>")
 
 
 def hot_shingles(spark: SparkSession, common: tuple[np.ndarray, np.ndarray], texts_of_all: int) -> DataFrame:

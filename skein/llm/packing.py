@@ -27,7 +27,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skein.llm.common import chunks, table, texts
+from skein.llm.common import chunks, small_batches, table, texts
 from skein.llm.encoder import MEMO, worker_encoder
 
 SCHEMA = "doc_id long, start long, length long, doc_tokens long, sequence_id long, offset long, ids binary"
@@ -159,7 +159,7 @@ def pack(df: DataFrame, tokenizer: str, *, id_col: str = "doc_id", text_col: str
     Windows are made within a task, so nothing is shuffled; a task adds less than a window of padding beyond its batches'.
     """
     rows = df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return rows.mapInArrow(packer(tokenizer, capacity, padding, end, batch, memo), SCHEMA)
+    return small_batches(rows).mapInArrow(packer(tokenizer, capacity, padding, end, batch, memo), SCHEMA)
 
 
 def packed(documents: DataFrame, memo: int = MEMO) -> DataFrame:

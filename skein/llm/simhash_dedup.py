@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skein.llm.common import chunks, cut, table, texts
+from skein.llm.common import chunks, cut, small_batches, table, texts
 from skein.llm.components import components
 
 #: The most fingerprints of a bucket that one tile's side holds.
@@ -66,7 +66,7 @@ def fingerprints(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "text
             yield pa.RecordBatch.from_arrays([chunk.column(0), pa.array(fps, pa.int64())], names=["doc_id", "fp"])
 
     rows = df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return rows.mapInArrow(run, "doc_id long, fp long")
+    return small_batches(rows).mapInArrow(run, "doc_id long, fp long")
 
 
 def block_masks(blocks: int, agree: int) -> list[int]:

@@ -21,7 +21,7 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skein.llm.common import chunks, table, texts
+from skein.llm.common import chunks, small_batches, table, texts
 from skein.llm.encoder import PATTERN, byte_alphabet
 
 #: Chunks whose counts one worker holds, and the longest of them in characters; beyond it the memo starts anew.
@@ -208,7 +208,7 @@ def count_tokens(df: DataFrame, tokenizer: str, *, id_col: str = "doc_id", text_
     """doc_id, n_bytes and n_tokens of every row, by the byte-level BPE vocabulary in `tokenizer` (a .json file)."""
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     rows = df.select(F.col(id_col).cast("long").alias("doc_id"), text.alias("text"), F.octet_length(text).cast("long").alias("n_bytes"))
-    return rows.mapInArrow(counter(tokenizer), "doc_id long, n_bytes long, n_tokens long")
+    return small_batches(rows).mapInArrow(counter(tokenizer), "doc_id long, n_bytes long, n_tokens long")
 
 
 def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:

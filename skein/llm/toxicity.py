@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from skein.llm.common import cut, id_bucket, table, texts, with_results
+from skein.llm.common import cut, id_bucket, small_batches, table, texts, with_results
 
 #: Code points that mark a word's start and end.
 START, END = 2, 3
@@ -278,7 +278,7 @@ def fit(df: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: s
     """
     spark = df.sparkSession
     sample = cut(labelled_sample(df, labels, id_col, text_col, label_col, max_rows).withColumn("held", (F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(4)) == 0).cast("int")))
-    counted = sample.select("text", "y", "held").mapInArrow(gram_counter(order), ", ".join(["gram binary", *(f"{c} long" for c in COUNTS)]))
+    counted = small_batches(sample.select("text", "y", "held")).mapInArrow(gram_counter(order), ", ".join(["gram binary", *(f"{c} long" for c in COUNTS)]))
     found = counted.groupBy("gram").agg(*[F.sum(c).alias(c) for c in COUNTS]).orderBy("gram").toArrow()  # bounded with the sample
     grams = np.frombuffer(b"".join(found.column("gram").to_pylist()), dtype="<u4").reshape(-1, order)
     toxic, ordinary, held_toxic, held_ordinary = (found.column(c).to_numpy().astype(float) for c in COUNTS)
