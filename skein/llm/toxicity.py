@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from skein.llm.common import cut, id_bucket, small_batches, table, texts, with_results
+from skein.llm.common import cut, give_back, id_bucket, small_batches, table, texts, with_results
 
 #: Code points that mark a word's start and end.
 START, END = 2, 3
@@ -271,6 +271,15 @@ def gram_counter(order: int):
     return run
 
 
+def two_tables(found: pa.Table, order: int, discount: float, weight: float) -> tuple[Tables, Tables]:
+    """The models of the rows that are not held out, and of all, from the grams' COUNTS."""
+    grams = np.frombuffer(b"".join(found.column("gram").to_pylist()), dtype="<u4").reshape(-1, order)
+    toxic, ordinary, held_toxic, held_ordinary = (found.column(c).to_numpy().astype(float) for c in COUNTS)
+    seen = toxic + ordinary > 0
+    part = Tables(grams[seen], toxic[seen], ordinary[seen], discount=discount, weight=weight)
+    return part, Tables(grams, toxic + held_toxic, ordinary + held_ordinary, discount=discount, weight=weight)
+
+
 def fit(df: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", order: int = 8, discount: float = 0.75, weight: float = 100.0, passage: int = 3, max_rows: int = 4000) -> ToxicityModel:
     """Class models from the labelled rows of `labels` (id_col, label_col in 0, 1).
 
@@ -279,14 +288,13 @@ def fit(df: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: s
     spark = df.sparkSession
     sample = cut(labelled_sample(df, labels, id_col, text_col, label_col, max_rows).withColumn("held", (F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(4)) == 0).cast("int")))
     counted = small_batches(sample.select("text", "y", "held")).mapInArrow(gram_counter(order), ", ".join(["gram binary", *(f"{c} long" for c in COUNTS)]))
-    found = counted.groupBy("gram").agg(*[F.sum(c).alias(c) for c in COUNTS]).orderBy("gram").toArrow()  # bounded with the sample
-    grams = np.frombuffer(b"".join(found.column("gram").to_pylist()), dtype="<u4").reshape(-1, order)
-    toxic, ordinary, held_toxic, held_ordinary = (found.column(c).to_numpy().astype(float) for c in COUNTS)
-    seen = toxic + ordinary > 0
-    before = ToxicityModel(spark, Tables(grams[seen], toxic[seen], ordinary[seen], discount=discount, weight=weight), order, passage)
+    found = counted.groupBy("gram").agg(*[F.sum(c).alias(c) for c in COUNTS]).orderBy("gram")
+    part, whole = two_tables(found.toArrow(), order, discount, weight)  # bounded with the sample
+    give_back()
+    before = ToxicityModel(spark, part, order, passage)
     held = before.evidence(sample.filter("held = 1"), keep=["y"]).toArrow()
     before.sent.unpersist()
-    model = ToxicityModel(spark, Tables(grams, toxic + held_toxic, ordinary + held_ordinary, discount=discount, weight=weight), order, passage)
+    model = ToxicityModel(spark, whole, order, passage)
     y, x = held.column(0).to_numpy(), held.column(1).to_numpy()
     if len(set(y.tolist())) == 2:
         model.slope, model.intercept = logistic(x, y.astype(float))
