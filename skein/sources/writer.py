@@ -9,9 +9,10 @@ from urllib.parse import unquote, urlparse
 
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from skein.sources.files import expand, first_lines
 from skein.sources.header import LogHeader
 
 
@@ -34,11 +35,30 @@ def header_text(header: LogHeader) -> str:
 
 
 def write_log(df: DataFrame, folder: str, header: LogHeader, *, compression: str = "none", line_end: str = "") -> None:
-    """The string columns of `df`, in order, as lines; the first line of a partition brings the header before it."""
+    """The string columns of `df`, in order, as lines; the first line of a partition brings the header before it.
+
+    Spark gives the first partition a file even if it has no rows; that file has the header alone. Other empty ones get none.
+    """
     line = F.concat(F.concat_ws(header.separator, *df.columns), F.lit(line_end))
     first = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)) == 0
-    head = F.lit(header_text(header).replace("\n", f"{line_end}\n") + f"{line_end}\n")
-    df.select(F.when(first, F.concat(head, line)).otherwise(line).alias("value")).write.option("compression", compression).mode("overwrite").text(folder)
+    head = header_text(header).replace("\n", f"{line_end}\n") + f"{line_end}\n"
+    df.select(F.when(first, F.concat(F.lit(head), line)).otherwise(line).alias("value")).write.option("compression", compression).mode("overwrite").text(folder)
+    for path in expand(df.sparkSession, f"{folder}/part-00000-*"):
+        if next(first_lines(df.sparkSession, path), None) is None:
+            overwrite(df.sparkSession, f"{folder}/{os.path.basename(path)}", head.encode())
+
+
+def overwrite(spark: SparkSession, path: str, data: bytes) -> None:
+    """`data` as the contents of a file of any store that Spark reaches, compressed by its suffix."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    at = jvm.org.apache.hadoop.fs.Path(path)
+    codec = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(conf).getCodec(at)
+    stream = at.getFileSystem(conf).create(at, True)
+    out = codec.createOutputStream(stream) if codec else stream
+    try:
+        out.write(data)
+    finally:
+        out.close()
 
 
 def put(folder: str, name: str, data: bytes) -> None:

@@ -10,7 +10,8 @@ from hypothesis import strategies as st
 
 from skein.plans.reader import read_log, respelling
 from skein.sources import files
-from skein.sources.header import LogError
+from skein.sources.header import LogError, LogHeader
+from skein.sources.writer import write_log
 from tests.conftest import rows
 
 
@@ -243,3 +244,14 @@ def test_spellings(spark, log, tmp_path, monkeypatch):
     assert sorted(rows(read_log(spark, "../deep/*.log", filename=True))) == [("deep/a.log", "../deep/a.log"), ("deep/b.log", "../deep/b.log")]
     assert respelling([("/w/a", "a"), ("/w/b", "b")]) == ("/w/", "") and respelling([("/a", "/a")]) == ("", "")
     assert respelling([("/w/a", "a"), ("/v/b", "b")]) is None
+
+
+@pytest.mark.parametrize("compression", ["none", "gzip"])
+def test_log_written_with_an_empty_first_partition(spark, tmp_path, compression):
+    header = LogHeader(fields=("n", "text"), types=("int", "string"))
+    df = spark.range(0, 40, 1, 4).selectExpr("string(id) AS a", "concat('x', id) AS b")
+    for name, where in (("some", "int(a) >= 15"), ("none", "int(a) > 100")):
+        write_log(df.filter(where), f"{tmp_path}/{name}", header, compression=compression, line_end="\r")
+        got = read_log(spark, f"{tmp_path}/{name}/part-*")
+        assert got.dtypes == [("n", "bigint"), ("text", "string")]
+        assert sorted(rows(got)) == [(n, f"x{n}") for n in range(15, 40) if name == "some"]
