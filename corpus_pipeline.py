@@ -5,7 +5,8 @@ learnt), then near copies (one row of each group stays, that of the least id), t
 rest is packed. Copies are told by their texts, whatever their ids, and so are texts that hold an item: different texts
 of a null or repeated id each have their own fate. No stage reads a column but doc_id, text and (to learn from) lang;
 all but the last return every column of their input, whatever its other columns are named. Texts of any length are
-read whole; an empty table gives none.
+read whole; an empty table gives none. Each stage begins with executors' heaps shrunk to what still lives, as what its
+Python workers take comes on top of what the stages before have left.
 """
 
 from __future__ import annotations
@@ -14,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skein.llm import decontamination, language_id, near_copies, packing, toxicity
-from skein.llm.common import cut, delete, shared_dir, table, unused
+from skein.llm.common import cut, delete, shared_dir, shrink_heaps, table, unused
 from skein.llm.native import small_side
 
 #: A text scores at least this if it is toxic.
@@ -30,6 +31,7 @@ def as_they_were(found: DataFrame, docs: DataFrame) -> DataFrame:
 
 def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """op3: rows that score less than TOXIC stay, the model being fitted on all labels."""
+    shrink_heaps(spark)
     model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
     (name,) = unused(docs, "evidence")
     return as_they_were(model.evidence(docs, name=name).filter(model.score(F.col(name)) < TOXIC), docs)
@@ -37,6 +39,7 @@ def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """op7: rows that belong to the language that the classifier gives them stay."""
+    shrink_heaps(spark)
     names = unused(docs, "lang_pred", "score", "belongs")
     found = language_id.fit(docs).predict(docs, names=tuple(names))
     return as_they_were(found.filter((F.col(names[0]) != language_id.UNKNOWN) & F.col(names[2])), docs)
@@ -44,6 +47,7 @@ def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """op5, held to a Jaccard of 0.8 of five-word shingles: of each group the row of the least (id, text) stays."""
+    shrink_heaps(spark)
     rows = cut(near_copies.near_copies(docs).groupBy("doc_id", "text_key", "copy_group").agg(F.count("*").alias("times")))
     rank = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_key")
     least = rows.groupBy("copy_group").agg(F.min(rank).alias("least"))
@@ -61,6 +65,7 @@ def dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """op6: rows whose text holds no benchmark item stay."""
+    shrink_heaps(spark)
     (key,) = unused(docs, "held_key")
     held = cut(decontamination.contaminated_texts(docs, table(spark, sf_dir, "benchmark")).select(F.col("key").alias(key)).distinct())
     return docs.join(small_side(held, held.count(), decontamination.BROADCAST_ROWS), decontamination.text_key() == F.col(key), "left_anti")
@@ -68,6 +73,7 @@ def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """op2: the pieces of every row's tokens."""
+    shrink_heaps(spark)
     return packing.packed(docs, memo=MEMO)
 
 

@@ -184,7 +184,14 @@ class SharedFiles:
         store.delete_dir(base)
 
 
+def shrink_heaps(spark: SparkSession) -> None:
+    """Executors' JVMs collect their garbage and give back heap that earlier stages have grown: a JVM and its Python
+    workers share an executor's memory. As many tasks as there are cores, so that each executor has one."""
+    cores = spark.sparkContext.defaultParallelism
+    spark.range(0, cores, 1, cores).selectExpr("java_method('java.lang.System', 'gc')").collect()
+
+
 def release(spark: SparkSession) -> None:
-    """Let go of shuffle files whose frames are no longer referred to."""
+    """Let go of shuffle files whose frames are no longer referred to, and of the heap that the driver's JVM no longer needs."""
     gc.collect()
     spark.sparkContext._jvm.System.gc()

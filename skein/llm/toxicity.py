@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from skein.llm.common import cut, give_back, id_bucket, small_batches, table, texts, with_results
+from skein.llm.common import cut, give_back, id_bucket, release, small_batches, table, texts, with_results
 
 #: Code points that mark a word's start and end.
 START, END = 2, 3
@@ -271,9 +271,20 @@ def gram_counter(order: int):
     return run
 
 
+def symbols_of(column: pa.ChunkedArray, order: int) -> np.ndarray:
+    """A row of symbols for each gram of a binary column; no object is made of each, as there are millions."""
+    parts = [np.zeros(0, dtype="<u4")]
+    for chunk in column.cast(pa.binary()).chunks:
+        if len(chunk):
+            _, offsets, data = chunk.buffers()
+            ends = np.frombuffer(offsets, dtype=np.int32)[chunk.offset : chunk.offset + len(chunk) + 1]
+            parts.append(np.frombuffer(data, dtype=np.uint8)[ends[0] : ends[-1]].view("<u4"))
+    return np.concatenate(parts).reshape(-1, order)
+
+
 def two_tables(found: pa.Table, order: int, discount: float, weight: float) -> tuple[Tables, Tables]:
     """The models of the rows that are not held out, and of all, from the grams' COUNTS."""
-    grams = np.frombuffer(b"".join(found.column("gram").to_pylist()), dtype="<u4").reshape(-1, order)
+    grams = symbols_of(found.column("gram"), order)
     toxic, ordinary, held_toxic, held_ordinary = (found.column(c).to_numpy().astype(float) for c in COUNTS)
     seen = toxic + ordinary > 0
     part = Tables(grams[seen], toxic[seen], ordinary[seen], discount=discount, weight=weight)
@@ -289,7 +300,10 @@ def fit(df: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: s
     sample = cut(labelled_sample(df, labels, id_col, text_col, label_col, max_rows).withColumn("held", (F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(4)) == 0).cast("int")))
     counted = small_batches(sample.select("text", "y", "held")).mapInArrow(gram_counter(order), ", ".join(["gram binary", *(f"{c} long" for c in COUNTS)]))
     found = counted.groupBy("gram").agg(*[F.sum(c).alias(c) for c in COUNTS]).orderBy("gram")
-    part, whole = two_tables(found.toArrow(), order, discount, weight)  # bounded with the sample
+    grams = found.toArrow()  # bounded with the sample
+    release(spark)  # the JVM's heap shrinks before Python's arrays grow: both are the driver's memory
+    part, whole = two_tables(grams, order, discount, weight)
+    del grams
     give_back()
     before = ToxicityModel(spark, part, order, passage)
     held = before.evidence(sample.filter("held = 1"), keep=["y"]).toArrow()

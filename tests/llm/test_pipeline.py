@@ -166,3 +166,14 @@ def test_rows_of_null_and_repeated_ids_keep_their_texts(spark):
     want = [(None, texts[0]), (None, texts[1]), (3, texts[2]), (3, texts[3]), (9, texts[4]), (10, texts[5])]
     assert near_dedup(spark, rows) == sorted(want, key=repr)
     assert near_dedup(spark, [(None, None), (None, ""), (1, " ")]) == [(1, " ")]
+
+
+def test_every_stage_shrinks_heaps_first(spark, documents):
+    """Stages run in one session, and an executor's memory holds what earlier ones have grown its heap to."""
+    beans = spark._jvm.java.lang.management.ManagementFactory.getGarbageCollectorMXBeans
+    full = lambda: sum(b.getCollectionCount() for b in beans() if "Old" in b.getName() or "MarkSweep" in b.getName())
+    for name, stage in corpus_pipeline.STAGES:
+        if name in ("language", "decontamination", "packing"):  # toxicity's fit collects on its own; near_dedup takes long
+            before = full()
+            stage(spark, documents.filter("false"), DATA)
+            assert full() > before, name
