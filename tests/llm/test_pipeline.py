@@ -1,6 +1,7 @@
 import random
 from collections import Counter
 
+import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
@@ -160,6 +161,30 @@ def test_hot_shingles_are_dealt_and_miss_nothing(spark, monkeypatch):
     assert len(near_dedup(spark, rows)) == want
 
 
+@pytest.mark.parametrize("sample", [5_000, 1])
+def test_a_large_group_makes_no_square_of_candidates(spark, monkeypatch, sample):
+    """Near copies that only those of few edits hold together, and strangers with most of the same passage, whether
+    their common shingles are known to be common or not."""
+    r = random.Random(6)
+    base = [f"w{r.randrange(10**6)}" for _ in range(140)]
+    rows = []
+    for k in range(400):
+        own = list(base)
+        for at in r.sample(range(len(own)), r.choice([1, 2, 3, 3, 3, 6, 9])):
+            own[at] = f"x{r.randrange(10**6)}"
+        rows.append((k, " ".join(own)))
+    counts, plain = [], near_copies.verified
+
+    def verified(tables, pairs, *args):
+        counts.append(pairs.count())
+        return plain(tables, pairs, *args)
+
+    monkeypatch.setattr(near_copies, "SAMPLE", sample)
+    monkeypatch.setattr(near_copies, "verified", verified)
+    assert sorted(i for i, _ in near_dedup(spark, rows)) == plain_survivors(rows)
+    assert sum(counts) < 20 * len(rows), counts
+
+
 def test_rows_of_null_and_repeated_ids_keep_their_texts(spark):
     texts = [f"text number {k} of its own with words like {k * 7} and {k * 13} to tell it from the others" for k in range(6)]
     rows = [(None, texts[0]), (None, texts[1]), (None, texts[1]), (3, texts[2]), (3, texts[3]), (3, texts[3]), (4, texts[3]), (None, texts[4]), (9, texts[4]), (10, texts[5])]
